@@ -1,0 +1 @@
+"""Freshness checks; the engine has no unbounded sources."""
