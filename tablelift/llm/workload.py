@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from pyspark.sql import functions as F
+
+from tablelift.llm import packing, quality_classifier, token_files, toxicity
 from tablelift.llm.common import scratch_path, table
-from tablelift.llm import packing, token_files
+from tablelift.llm.labelled import fold
 
 BPE_50K = "byte_bpe_50k.json"
 
@@ -15,12 +18,28 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _classified(spark, sf_dir, operator, folds, held):
+    """Fit on the labels of the other folds, then score every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = operator.fit(docs, labels, lambda doc_id: fold(doc_id, folds) != held)
+    scored = quality_classifier.scores(docs, model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op2_quality_classifier(spark, sf_dir):
+    return _classified(spark, sf_dir, quality_classifier, 4, 2)
+
+
 def op5_token_files(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     token_files.write_token_file(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BPE_50K))
     return token_files.read_token_file(spark, path, digest=True)
 
 
+def op10_toxicity(spark, sf_dir):
+    return _classified(spark, sf_dir, toxicity, 3, 1)
+
+
 def queries():
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
