@@ -6,11 +6,12 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tablelift.llm import packing, quality_classifier, token_files, toxicity
+from tablelift.llm import bpe, packing, quality_classifier, token_files, toxicity
 from tablelift.llm.common import scratch_path, table
 from tablelift.llm.labelled import fold
 
 BPE_50K = "byte_bpe_50k.json"
+RANKS_MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_best_fit_packing(spark, sf_dir):
@@ -36,6 +37,10 @@ def op5_token_files(spark, sf_dir):
     return token_files.read_token_file(spark, path, digest=True)
 
 
+def op7_bpe_encoding(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS_MULTI_50K), public_tokenizers.PATTERN)
+
+
 def op10_toxicity(spark, sf_dir):
     return _classified(spark, sf_dir, toxicity, 3, 1)
 
