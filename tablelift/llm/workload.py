@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tablelift.llm import bpe, packing, quality_classifier, token_files, toxicity
+from tablelift.llm import bpe, packing, quality_classifier, quality_rules, token_files, toxicity, vector_search
 from tablelift.llm.common import scratch_path, table
 from tablelift.llm.labelled import fold
 
@@ -31,6 +31,10 @@ def op2_quality_classifier(spark, sf_dir):
     return _classified(spark, sf_dir, quality_classifier, 4, 2)
 
 
+def op3_vector_search(spark, sf_dir):
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_files(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     token_files.write_token_file(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BPE_50K))
@@ -41,6 +45,10 @@ def op7_bpe_encoding(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS_MULTI_50K), public_tokenizers.PATTERN)
 
 
+def op8_quality_rules(spark, sf_dir):
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_toxicity(spark, sf_dir):
     return _classified(spark, sf_dir, toxicity, 3, 1)
 
@@ -49,5 +57,13 @@ def queries():
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
 
+OP3_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql():
-    return {}
+    return {"op3_vector_search": OP3_SQL}
