@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tablelift.llm import bpe, packing, quality_classifier, quality_rules, token_files, toxicity, vector_search
+from tablelift.llm import bpe, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity, vector_search
 from tablelift.llm.common import scratch_path, table
 from tablelift.llm.labelled import fold
 
@@ -35,6 +35,11 @@ def op3_vector_search(spark, sf_dir):
     return vector_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_token_files(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     token_files.write_token_file(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BPE_50K))
