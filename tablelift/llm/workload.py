@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tablelift.llm import bpe, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity, vector_search
+from tablelift.llm import bpe, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity, vector_search
 from tablelift.llm.common import scratch_path, table
 from tablelift.llm.labelled import fold
 
@@ -46,6 +47,10 @@ def op5_token_files(spark, sf_dir):
     return token_files.read_token_file(spark, path, digest=True)
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_encoding(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS_MULTI_50K), public_tokenizers.PATTERN)
 
@@ -59,7 +64,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 def queries():
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: f for k, f in globals().items() if k.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
 
 OP3_SQL = """
