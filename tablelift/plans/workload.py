@@ -1,15 +1,177 @@
-"""Registered queries of the export engine."""
+"""Registered queries of the export engine, and the same in DuckDB's SQL."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tablelift.functions.conversion import avro_type, export_columns, normalized
+from tablelift.operators.periods import parse_instant, parse_period
+from tablelift.operators.splits import bounds, ranges
+from tablelift.plans.query import ExportQuery, register, union
+
+TABLES = ["region", "nation", "customer", "orders", "lineitem", "events", "embeddings"]
+
+CTE = "WITH t AS (SELECT o_custkey, SUM(o_totalprice) AS spent FROM orders GROUP BY o_custkey)\nSELECT o_custkey, round(spent, 2) AS spent FROM t;\n"
+JOIN = "SELECT o.o_orderkey, c.c_name, c.c_mktsegment FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"
+TOP = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"
+
+
+def _partition(table, column, at, period):
+    return ExportQuery.table(table).partition(column, parse_instant(at), parse_period(period))
+
+
+#: Queries whose text runs unchanged on both sides.
+TEXTS = {
+    "scan_table": ExportQuery.table("nation"),
+    "scan_user_query": ExportQuery.sql("SELECT n_name, n_regionkey FROM nation WHERE n_regionkey > 1;"),
+    "scan_user_cte": ExportQuery.sql(CTE),
+    "scan_user_join": ExportQuery.sql(JOIN),
+    "partition_daily": _partition("events", "ts", "2024-01-05", None),
+    "partition_monthly": _partition("lineitem", "l_shipdate", "1995-01-01", "P1M"),
+    "partition_month_end": _partition("orders", "o_orderdate", "1995-01-31", "P1M"),
+    "partition_hourly": _partition("events", "ts", "2024-01-05T00:00:00Z", "PT1H"),
+    "partition_truncates_time": _partition("events", "ts", "2024-01-05T13:37:59Z", "P1D"),
+    "limit_ordered": ExportQuery.sql(TOP),
+}
+
+RANGES_SQL = """
+WITH b AS (SELECT MIN(l_orderkey) AS mn, MAX(l_orderkey) AS mx FROM lineitem),
+s AS (SELECT mn, mx, GREATEST(CAST(CEIL((mx - mn) / CAST({p} AS DOUBLE)) AS BIGINT), 1) AS bs FROM b),
+n AS (SELECT mn, mx, bs, GREATEST(CAST(CEIL((mx - mn) / CAST(bs AS DOUBLE)) AS BIGINT), 1) AS k FROM s)
+SELECT i AS split_id, mn + i * bs AS start_incl, CASE WHEN i = k - 1 THEN mx ELSE mn + (i + 1) * bs END AS end_point, i < k - 1 AS end_excl
+FROM (SELECT mn, mx, bs, k, UNNEST(range(k)) AS i FROM n)
+"""
+COUNTS_SQL = f"SELECT r.split_id, count(*) AS n FROM ({RANGES_SQL.format(p=7)}) r JOIN lineitem l ON l.l_orderkey >= r.start_incl AND (l.l_orderkey < r.end_point OR (NOT r.end_excl AND l.l_orderkey = r.end_point)) GROUP BY r.split_id"
+
+
+def _text(name):
+    def run(spark, sf_dir):
+        register(spark, sf_dir, TABLES)
+        return TEXTS[name].frame(spark)
+
+    return run
+
+
+def _ranges(p):
+    def run(spark, sf_dir):
+        register(spark, sf_dir, TABLES)
+        found = ranges(*bounds(spark.table("lineitem"), "l_orderkey"), p)
+        return spark.createDataFrame([(i, r.start, r.end, r.open_end) for i, r in enumerate(found)], "split_id long, start_incl long, end_point long, end_excl boolean")
+
+    return run
+
 
 def entry(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet").where("ts >= '2024-01-05' AND ts < '2024-01-06'")
+    register(spark, sf_dir, TABLES)
+    return union(spark, TEXTS["partition_daily"].splits(spark, "event_id", 4))
+
+
+def _bounds(query, column):
+    def run(spark, sf_dir):
+        register(spark, sf_dir, TABLES)
+        return spark.sql(query.bounds_text(column))
+
+    return run
+
+
+def bounds_empty(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    rows = spark.table("events").where("event_id < 0")
+    return rows.agg(F.coalesce(F.min("event_id"), F.lit(0)).alias("min_s"), F.coalesce(F.max("event_id"), F.lit(0)).alias("max_s"))
+
+
+def split_scan(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    return union(spark, ExportQuery.table("lineitem").splits(spark, "l_orderkey", 4))
+
+
+def split_partition(spark, sf_dir):
+    return entry(spark, sf_dir)
+
+
+def _split_counts(limit):
+    def run(spark, sf_dir):
+        register(spark, sf_dir, TABLES)
+        found = ranges(*bounds(spark.table("lineitem"), "l_orderkey"), 7)
+        parts = [ExportQuery.table("lineitem").split("l_orderkey", r).first(None if limit is None else limit // 7).frame(spark).agg(F.count("*").alias("n")).select(F.lit(i).cast("long").alias("split_id"), "n") for i, r in enumerate(found)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    return run
+
+
+def limit_count(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    return ExportQuery.table("events").first(7).frame(spark).agg(F.count("*").alias("n"))
+
+
+def _convert(sql):
+    def run(spark, sf_dir):
+        register(spark, sf_dir, TABLES)
+        return export_columns(spark.sql(sql))
+
+    return run
+
+
+def normalize_columns(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    return export_columns(spark.sql("SELECT n_nationkey AS `nation key`, n_name AS `näme-1` FROM nation"))
+
+
+def schema_fields(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    fields = spark.table("events").schema
+    return spark.createDataFrame([(normalized(f.name), str(avro_type(f.dataType))) for f in fields], "name string, avro_type string")
+
+
+def array_typed(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    rows = export_columns(spark.table("embeddings"))
+    return rows.select("vec_id", F.size("embedding").cast("long").alias("n"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 3).alias("total"))
+
+
+def replica_freshness(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    return spark.sql("SELECT CAST(ts AS DATE) AS day, max(ts) >= CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) + INTERVAL 23 HOURS AS late_enough FROM events GROUP BY CAST(ts AS DATE)")
+
+
+def min_rows_check(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    return spark.sql("SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) >= 340 AS passed FROM events GROUP BY CAST(ts AS DATE)")
+
+
+def bench_stats(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    v = F.col("value")
+    return spark.table("events").groupBy("event_type").agg(F.max(v).alias("max_v"), F.round(F.avg(v), 6).alias("mean_v"), F.min(v).alias("min_v"), F.round(F.stddev_pop(v), 6).alias("stddev_v"))
+
+
+def metrics_record_count(spark, sf_dir):
+    register(spark, sf_dir, TABLES)
+    return spark.table("lineitem").agg(F.count("*").alias("record_count"))
+
+
+MONTH = _partition("lineitem", "l_shipdate", "1995-01-01", "P1M")
 
 
 def queries():
-    return {}
+    out = {name: _text(name) for name in TEXTS}
+    out |= {"ranges_even": _ranges(4), "ranges_uneven": _ranges(7), "ranges_wide": _ranges(100)}
+    out |= {"bounds": _bounds(ExportQuery.table("lineitem"), "l_orderkey"), "bounds_partitioned": _bounds(MONTH, "l_orderkey"), "bounds_empty": bounds_empty}
+    out |= {"split_scan": split_scan, "split_partition": split_partition, "split_counts": _split_counts(None), "split_limit_counts": _split_counts(100), "limit_count": limit_count}
+    out |= {"convert_timestamps": _convert("SELECT event_id, ts FROM events"), "convert_dates": _convert("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders"), "convert_decimal_string": _convert("SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS price FROM lineitem"), "convert_ints": _convert("SELECT p_key AS k, CAST(p_key AS SMALLINT) AS s, CAST(p_key AS TINYINT) AS t FROM (SELECT n_nationkey AS p_key FROM nation)")}
+    out |= {"array_typed": array_typed, "normalize_columns": normalize_columns, "schema_fields": schema_fields, "replica_freshness": replica_freshness, "min_rows_check": min_rows_check, "bench_stats": bench_stats, "metrics_record_count": metrics_record_count}
+    return out
 
 
 def oracle_sql():
-    return {}
+    out = {name: q.text() for name, q in TEXTS.items()}
+    out |= {"ranges_even": RANGES_SQL.format(p=4), "ranges_uneven": RANGES_SQL.format(p=7), "ranges_wide": RANGES_SQL.format(p=100)}
+    out |= {"bounds": "SELECT MIN(l_orderkey) AS min_s, MAX(l_orderkey) AS max_s FROM lineitem", "bounds_partitioned": MONTH.bounds_text("l_orderkey"), "bounds_empty": "SELECT COALESCE(MIN(event_id), 0) AS min_s, COALESCE(MAX(event_id), 0) AS max_s FROM events WHERE event_id < 0"}
+    out |= {"split_scan": "SELECT * FROM lineitem", "split_partition": TEXTS["partition_daily"].text(), "split_counts": COUNTS_SQL, "split_limit_counts": f"SELECT split_id, LEAST(n, 14) AS n FROM ({COUNTS_SQL})", "limit_count": "SELECT LEAST(count(*), 7) AS n FROM events"}
+    out |= {"convert_timestamps": "SELECT event_id, epoch_us(ts) // 1000 AS ts FROM events", "convert_dates": "SELECT o_orderkey, epoch_us(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) // 1000 AS day FROM orders", "convert_decimal_string": "SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM lineitem", "convert_ints": "SELECT n_nationkey AS k, n_nationkey AS s, n_nationkey AS t FROM nation"}
+    out |= {"array_typed": "SELECT vec_id, len(embedding) AS n, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 3) AS total FROM embeddings", "normalize_columns": "SELECT n_nationkey AS nation_key, n_name AS n_me_1 FROM nation", "schema_fields": "SELECT * FROM (VALUES ('event_id','long'),('ts','long'),('user_id','long'),('event_type','string'),('value','double'),('props','string')) t(name, avro_type)"}
+    out |= {"replica_freshness": "SELECT CAST(ts AS DATE) AS day, max(ts) >= CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 23 HOURS AS late_enough FROM events GROUP BY CAST(ts AS DATE)", "min_rows_check": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) >= 340 AS passed FROM events GROUP BY CAST(ts AS DATE)", "bench_stats": "SELECT event_type, max(value) AS max_v, round(avg(value), 6) AS mean_v, min(value) AS min_v, round(stddev_pop(value), 6) AS stddev_v FROM events GROUP BY event_type", "metrics_record_count": "SELECT count(*) AS record_count FROM lineitem"}
+    return out
