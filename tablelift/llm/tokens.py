@@ -13,7 +13,9 @@ import re
 import numpy as np
 
 #: Words that a worker keeps encoded, in each of two generations.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
+#: Words that are encoded in one call, a line each.
+LINES = 64
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
 
@@ -25,12 +27,35 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: a line break before a space is always a piece of its own; its id parts the words of one call
+        self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, which has no white space at its edges, with a space before it."""
+        out: list[bytes | None] = [None] * len(words)
+        alone = [i for i, w in enumerate(words) if "\n" in w] if len(self.line_break) == 1 else list(range(len(words)))
+        hidden = set(alone)
+        lines = [i for i in range(len(words)) if i not in hidden]
+        groups = [lines[i : i + LINES] for i in range(0, len(lines), LINES)]
+        joined = ["\n".join([" " + words[i] for i in g]) for g in groups]
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = (np.flatnonzero(ids == self.line_break[0]) * 4).tolist()
+            if len(cuts) != len(g) - 1:
+                alone += g
+                continue
+            data = ids.tobytes()
+            for i, s, t in zip(g, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
+                out[i] = data[s:t]
+        for i, ids in zip(alone, self._ids([" " + words[i] for i in alone]), strict=True):
+            out[i] = ids
+        return out
+
     def _fill(self, words: set[str]) -> None:
         """Encode the words that neither generation has, each with the space before it.
 
@@ -45,7 +70,7 @@ class Encoder:
                 self.young[w] = None
             else:
                 missing.append(w)
-        self.young.update(zip(missing, self._ids([" " + w for w in missing]), strict=True))
+        self.young.update(zip(missing, self._spaced(missing), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers; null is empty."""
