@@ -7,7 +7,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tablelift.llm import bpe, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity, vector_search
+from tablelift.llm import bpe, jaccard_join, language_id, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity, vector_search
 from tablelift.llm.common import scratch_path, table
 from tablelift.llm.labelled import fold
 
@@ -59,6 +59,10 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return _classified(spark, sf_dir, toxicity, 3, 1)
 
