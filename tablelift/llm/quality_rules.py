@@ -70,6 +70,7 @@ def measures(docs: DataFrame) -> DataFrame:
 def _distance(columns: list[str], reference: list[float]):
     """Square root of the Jensen-Shannon divergence in bits."""
     total = sum(F.col(c) for c in columns)
+    total = F.when(total > 0, total)  # an empty histogram has no distance
     parts = F.lit(0.0)
     for c, q in zip(columns, reference, strict=True):
         p = F.col(c) / total
@@ -87,7 +88,7 @@ def judged(docs: DataFrame) -> DataFrame:
     references = sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     far = F.lit(False)
     for part, most in zip(columns, (MAX_CHARACTERS, MAX_WORDS_DISTANCE), strict=True):
-        shares = [[r[c] / sum(r[x] for x in part) for c in part] for r in references]
+        shares = [[r[c] / sum(r[x] for x in part) for c in part] for r in references if all(sum(r[x] for x in p) > 0 for p in columns)]
         if shares:
             far = far | (F.array_min(F.array(*[_distance(part, s) for s in shares])) > most)
     kept = ~F.col("base_failed") & ((F.col("n_words") < MIN_WORDS) | ~F.coalesce(far, F.lit(False)))
