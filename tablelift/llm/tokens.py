@@ -13,7 +13,7 @@ import re
 import numpy as np
 
 #: Words that a worker keeps encoded, in each of two generations.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 #: Words that are encoded in one call, a line each.
 LINES = 64
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -31,6 +31,7 @@ class Encoder:
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # words that begin a text
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -72,6 +73,13 @@ class Encoder:
                 missing.append(w)
         self.young.update(zip(missing, self._spaced(missing), strict=True))
 
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        if len(self.first) > CACHE_WORDS // 8:
+            self.first = {}
+        new = list(set(heads) - self.first.keys())
+        self.first.update(zip(new, self._ids(new), strict=True))
+        return list(map(self.first.__getitem__, heads))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers; null is empty."""
         out: list[bytes] = []
@@ -82,7 +90,7 @@ class Encoder:
             heads = [p.pop(0) for p in parts]
             self._fill(set().union(*parts))
             get = self.young.__getitem__
-            for text, ids, p, h in zip(texts[i : i + 256], self._ids(heads), parts, heads, strict=True):
+            for text, ids, p, h in zip(texts[i : i + 256], self._heads(heads), parts, heads, strict=True):
                 try:
                     if h and h[-1].isspace():
                         raise TypeError
