@@ -127,18 +127,19 @@ def _open(num: int, den: int):
             right, b = [right[i] for i in keep_b], [b[i] for i in keep_b]
         if not a or not b:
             return []
-        names, codes = np.unique(np.concatenate([*a, *b]), return_inverse=True)
-        sizes = [len(s) for s in [*a, *b]]
+        members, every = (left, a) if same else ([*left, *right], [*a, *b])
+        names, codes = np.unique(np.concatenate(every), return_inverse=True)
+        sizes = [len(s) for s in every]
         rows = np.repeat(np.arange(len(sizes)), sizes)
-        common = np.zeros((len(a), len(b)))
+        common = np.zeros((len(sizes), len(sizes)))
         for lo in range(0, len(names), 8192):  # bounded slices of the shingles
             inside = (codes >= lo) & (codes < lo + 8192)
             matrix = np.zeros((len(sizes), min(8192, len(names) - lo)), np.float32)
             matrix[rows[inside], codes[inside] - lo] = 1
-            common += matrix[: len(a)] @ matrix[len(a) :].T
+            common += matrix @ matrix.T
         size = np.array(sizes, float)
-        near = den * common >= num * (size[: len(a), None] + size[None, len(a) :] - common)
-        root = {m["cls"]: m["cls"] for m in [*left, *right]}
+        near = np.triu(den * common >= num * (size[:, None] + size[None] - common), 1)
+        root = list(range(len(sizes)))
 
         def top(x: int) -> int:
             while root[x] != x:
@@ -146,12 +147,16 @@ def _open(num: int, den: int):
                 x = root[x]
             return x
 
-        out = []
-        for i, j in zip(*np.nonzero(near), strict=True):
-            x, y = left[i]["cls"], right[j]["cls"]
-            if top(x) != top(y):
-                root[max(top(x), top(y))] = min(top(x), top(y))
-                out.append((x, y))
+        out, border = [], len(a)
+        pairs = list(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
+        # links inside a group are told when the group is opened on itself; here they only say what
+        # hangs together, so that two groups which do need one link
+        for inner in (True, False):
+            for i, j in pairs:
+                if (same or (i < border) == (j < border)) == inner and top(i) != top(j):
+                    root[top(j)] = top(i)
+                    if same or not inner:
+                        out.append((members[i]["cls"], members[j]["cls"]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
