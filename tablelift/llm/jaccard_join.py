@@ -6,11 +6,14 @@ differ in at most (1 - t) / (1 + t) * (|A| + |B|) shingles, so more parts than t
 part's hash is a token of the class. The number of parts depends on a size band; a class has the tokens of its
 own band, and of the next one if a larger partner can be there.
 
-Classes that share a token with others are partitioned into groups of similar classes (those with the
-same least neighbour, split to about GROUP). The token-group matrix has a row for each token and group; two
-groups are a candidate if they share a token. An opened pair of groups first bounds each class's
-overlap by the other group's shingle union; only classes that can reach the threshold are compared,
-by one product of incidence matrices. Links within a component that is known are not repeated.
+Each class that shares tokens is first compared with one hub, the least class of most of its tokens. What
+hangs together then needs no further comparison, so that only tokens found in two components or more go on:
+a large group of near copies is one component and not a square of pairs. Their classes are
+partitioned into groups (of one component where it is large, of the same least neighbour elsewhere, split to
+about GROUP). The token-group matrix has a row for each token and group; two groups are a candidate if they
+share a token. A class's signature is a bitmap of its shingles: a bit that only one set has stands for a
+shingle that the other lacks, which bounds the overlap from above. Only the classes of a pair of groups that
+can reach the threshold by it are opened, and compared by one product of incidence matrices.
 
 Cases: null and empty texts have an empty set and link with nothing; fewer than k words are one
 shingle; repeated rows and equal sets share a class, rows with the same doc_id are judged each; rows
@@ -27,14 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import batch, text_bytes, written
+from tablelift.llm.common import batch, drop_written, text_bytes, written
 from tablelift.llm.shingles import groups, mix, sequences, word_hashes
 
-BAND, GROUP = 2.0, 32
-#: Sets of less than 64 shingles are dealt to parts so many times.
-SMALL_BAND, SALTS = 5, 4
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-SETS = "doc_id long, n long, h1 long, h2 long, tokens array<bigint>"
+#: Ratio of the sizes in a band (more for thresholds under 0.8), and classes of a group.
+BAND, GROUP = 1.25, 64
+#: Sets of less than SMALL shingles (by their band's upper end) are dealt to parts SALTS times.
+SMALL, SALTS = 64, 4
+#: Least bits of a signature; larger sets have a power of two above their size.
+BITS = 1024
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sig", pa.binary())])
+SETS = "doc_id long, n long, h1 long, h2 long, tokens array<bigint>, sig binary"
 
 
 def _sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -54,16 +60,16 @@ def _tokens(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     """Part hashes of a set, for threshold num / den; empty parts have none.
 
     With `differ` shingles of two sets unequal and differ + 1 parts, a part is equal. It is of use if it
-    is not empty: parts hold 4.75 shingles and more on average at 0.9, so that all parts but empty ones
-    differ with a chance that falls factorially with the size; small sets are dealt SALTS times.
+    is not empty: parts hold 7.6 shingles and more on average at 0.9 and 3.6 at 0.8, so that all parts but
+    empty ones differ with a chance that falls factorially with the size; small sets are dealt SALTS times.
     """
-    n, hashes = len(shingles), []
-    band = int(math.log(n, BAND) + 1e-9) if n else 0
+    n, hashes, ratio = len(shingles), [], max(BAND, den / num)
+    band = int(math.log(n, ratio) + 1e-9) if n else 0
     for b in (band, band + 1):
-        if not n or (b > band and n * den < num * BAND**b):
+        if not n or (b > band and n * den < num * ratio**b * (1 - 1e-9)):
             continue
-        parts = int((den - num) * 2 * BAND ** (b + 1) / (den + num)) + 1
-        for salt in range(SALTS if b <= SMALL_BAND else 1):
+        parts = int((den - num) * 2 * ratio ** (b + 1) * (1 + 1e-9) / (den + num)) + 1
+        for salt in range(SALTS if ratio ** (b + 1) <= SMALL else 1):
             part = (mix(shingles + np.uint64(b + 1 + 1000 * salt)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             starts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0]))
@@ -72,6 +78,33 @@ def _tokens(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
 
 
+def _signature(shingles: np.ndarray) -> bytes:
+    bits = BITS
+    while bits < len(shingles):
+        bits *= 2
+    found = np.zeros(bits, np.uint8)
+    found[(mix(shingles + np.uint64(77)) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(found, bitorder="little").tobytes()
+
+
+def _folded(sigs: list[bytes], size: int) -> np.ndarray:
+    """Signatures as rows of `size` bytes: a longer one's bits are the same hashes modulo less."""
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(x, np.uint8).reshape(-1, size), axis=0) for x in sigs]).view(np.uint64)
+
+
+def _can_link(n_a: np.ndarray, a: list[bytes], n_b: np.ndarray, b: list[bytes], num: int, den: int) -> np.ndarray:
+    """Matrix: whether sets with these sizes and signatures can reach num / den."""
+    size = min(map(len, [*a, *b]))
+    x, y = _folded(a, size), _folded(b, size)
+    out = np.zeros((len(a), len(b)), bool)
+    for i in range(len(a)):
+        only_a = np.bitwise_count(x[i] & ~y).sum(axis=1, dtype=np.int64)
+        only_b = np.bitwise_count(y & ~x[i]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(n_a[i] - only_a, n_b - only_b)
+        out[i] = den * most >= num * (n_a[i] + n_b - most)
+    return out
+
+
 def _scan(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -85,7 +118,7 @@ def _scan(k: int, num: int, den: int):
                     h1, h2 = (int(np.bitwise_xor.reduce(mix(s + np.uint64(c)), initial=0).astype(np.int64)) for c in (1, 2))
                     again = (len(s), h1, h2) in seen  # its tokens have been sent
                     seen.add((len(s), h1, h2))
-                    rows.append((doc, len(s), h1, h2, None if again else _tokens(s, num, den).view(np.int64)))
+                    rows.append((doc, len(s), h1, h2, *((None, None) if again else (_tokens(s, num, den).view(np.int64), _signature(s)))))
                 if rows:
                     yield batch(_SETS, *zip(*rows, strict=True))
 
@@ -113,6 +146,59 @@ def _again(k: int):
 
 
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+EDGES = "a long, b long"
+_MET = pa.schema([("grp", pa.int64()), ("other", pa.int64()), ("cls", pa.int64()), ("comp", pa.int64()), ("side", pa.int32())])
+MET = "grp long, other long, cls long, comp long, side int"
+
+
+def _near_hub(num: int, den: int):
+    """Rows a, b whose signatures let them link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.to_pylist()
+            found = [(r["a"], r["b"]) for r in rows if _can_link(np.array([r["n_a"]]), [r["sig_a"]], np.array([r["n_b"]]), [r["sig_b"]], num, den)[0, 0]]
+            if found:
+                yield batch(_EDGES, *zip(*found, strict=True))
+
+    return run
+
+
+def _linked(num: int, den: int):
+    """Rows a, b whose sets link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                x, y = np.frombuffer(r["set_a"], np.uint64), np.frombuffer(r["set_b"], np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if den * common >= num * (len(x) + len(y) - common):
+                    found.append((r["a"], r["b"]))
+            if found:
+                yield batch(_EDGES, *zip(*found, strict=True))
+
+    return run
+
+
+def _meet(num: int, den: int):
+    """The classes of two groups (or of one) that can link with one of another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                left, same = r["left"], r["right"] is None
+                right = left if same else r["right"]
+                (n_a, c_a, s_a), (n_b, c_b, s_b) = (([m["n"] for m in g], [m["comp"] for m in g], [m["sig"] for m in g]) for g in (left, right))
+                can = _can_link(np.array(n_a), s_a, np.array(n_b), s_b, num, den) & (np.array(c_a)[:, None] != np.array(c_b)[None])
+                rows = [(r["grp"], r["other"], left[j]["cls"], left[j]["comp"], 0) for j in np.flatnonzero(can.any(axis=1)).tolist()]
+                rows += [] if same else [(r["grp"], r["other"], right[j]["cls"], right[j]["comp"], 1) for j in np.flatnonzero(can.any(axis=0)).tolist()]
+                if rows:
+                    yield batch(_MET, *zip(*rows, strict=True))
+
+    return run
 
 
 def _open(num: int, den: int):
@@ -147,6 +233,9 @@ def _open(num: int, den: int):
                 x = root[x]
             return x
 
+        first: dict = {}  # what hangs together before
+        for i, m in enumerate(members):
+            root[i] = first.setdefault(m["comp"], i)
         out, border = [], len(a)
         pairs = list(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
         # links inside a group are told when the group is opened on itself; here they only say what
@@ -163,7 +252,8 @@ def _open(num: int, den: int):
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
-                found = links(r["left"], r["right"] or r["left"], r["right"] is None)
+                left, right = ([m for m in r["items"] if m["side"] == side] for side in (0, 1))
+                found = links(left, right or left, not right)
                 if found:
                     yield batch(_EDGES, *zip(*found, strict=True))
 
@@ -188,23 +278,53 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id that links reach), a row for each row of docs."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = written(rows.mapInArrow(_scan(k, num, den), SETS), "sets")
-    grouped = sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("tokens", ignorenulls=True).alias("tokens"))
+    grouped = sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("tokens", ignorenulls=True).alias("tokens"), F.first("sig", ignorenulls=True).alias("sig"))
     classes = written(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    sets = sets.select("doc_id", "n", "h1", "h2")
     tokens = classes.where("rep is not null").select("cls", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("token", "least")
     near = written(tokens.join(shared, "token"), "near")
-    label = near.groupBy("cls").agg(F.min("least").alias("label"))
+
+    def shingles(wanted: DataFrame, name: str) -> DataFrame:
+        """cls and shingles of the wanted classes, from their texts."""
+        chosen = classes.join(wanted.select("cls").distinct(), "cls").select("cls", "rep", "n", "h1")
+        texts = rows.join(chosen, rows["doc_id"] == chosen["rep"]).select("cls", "n", "h1", "text")
+        return written(texts.mapInArrow(_again(k), "cls long, shingles binary").dropDuplicates(["cls"]), name)
+
+    # each class and its hub
+    hubs = near.where("cls <> least").groupBy("cls", "least").count().groupBy("cls").agg(F.max_by("least", F.struct("count", -F.col("least"))).alias("hub"))
+    ends = hubs.select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    for end in "ab":
+        ends = ends.join(classes.select(F.col("cls").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")), end)
+    stars = written(ends.mapInArrow(_near_hub(num, den), EDGES), "stars")
+    texts = shingles(stars.select(F.explode(F.array("a", "b")).alias("cls")), "star-sets")
+    for end in "ab":
+        stars = stars.join(texts.select(F.col("cls").alias(end), F.col("shingles").alias(f"set_{end}")), end)
+    stars = written(stars.mapInArrow(_linked(num, den), EDGES), "star-links")
+    drop_written(texts)
+    comps = components(stars).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
+
+    # what is left: tokens of two components or more
+    split = near.join(comps, "cls", "left").select("cls", "token", F.coalesce("comp", "cls").alias("comp"))
+    several = split.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("token", "least")
+    left = written(split.join(several, "token"), "left")
+    label = left.groupBy("cls", "comp").agg(F.min("least").alias("least"))
+    large = label.groupBy("comp").agg((F.count("*") >= GROUP // 2).alias("large"))
+    label = label.join(large, "comp").select("cls", "comp", F.when(F.col("large"), F.xxhash64("comp", F.lit(1))).otherwise(F.col("least")).alias("label"))
     counts = label.groupBy("label").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    members = written(label.join(counts, "label").select("cls", F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.col("parts"))).alias("grp")), "members")
-    matrix = near.join(members, "cls").select("token", "grp").distinct()
-    pairs = matrix.join(matrix.withColumnRenamed("grp", "other"), "token").where("grp < other").select("grp", "other").distinct()
-    chosen = classes.join(members, "cls").select("cls", "grp", "rep", "n", "h1")
-    texts = rows.join(chosen, rows["doc_id"] == chosen["rep"]).select("cls", "n", "h1", "text")
-    shingles = texts.mapInArrow(_again(k), "cls long, shingles binary").dropDuplicates(["cls"])
-    packed = written(shingles.join(members, "cls").groupBy("grp").agg(F.collect_list(F.struct("cls", "shingles")).alias("items")), "groups")
-    own = packed.select(F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
-    cross = pairs.join(packed.withColumnRenamed("items", "left"), "grp").join(packed.select(F.col("grp").alias("other"), F.col("items").alias("right")), "other").select("left", "right")
-    edges = own.unionByName(cross).mapInArrow(_open(num, den), "a long, b long")
+    members = written(label.join(counts, "label").select("cls", "comp", F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.col("parts"))).alias("grp")), "members")
+    pure = F.when(F.min("comp") == F.max("comp"), F.min("comp"))
+    signed = classes.select("cls", "n", "sig").join(members, "cls")
+    packed = written(signed.groupBy("grp").agg(pure.alias("pure"), F.collect_list(F.struct("cls", "comp", "n", "sig")).alias("items")), "groups")
+    matrix = left.select("token", "cls").join(members, "cls").select("token", "grp").distinct().join(packed.select("grp", "pure"), "grp")
+    apart = (F.col("grp") < F.col("other")) & ~F.coalesce(F.col("pure") == F.col("kind"), F.lit(False))
+    pairs = matrix.join(matrix.select("token", F.col("grp").alias("other"), F.col("pure").alias("kind")), "token").where(apart).select("grp", "other").distinct()
+    own = packed.where("pure is null").select("grp", F.col("grp").alias("other"), F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
+    cross = pairs.join(packed.select("grp", F.col("items").alias("left")), "grp").join(packed.select(F.col("grp").alias("other"), F.col("items").alias("right")), "other").select("grp", "other", "left", "right")
+    met = written(own.unionByName(cross).mapInArrow(_meet(num, den), MET), "met")
+    texts = shingles(met, "met-sets")
+    opened = met.join(texts, "cls").groupBy("grp", "other").agg(F.collect_list(F.struct("side", "cls", "comp", "shingles")).alias("items")).select("items")
+    edges = opened.mapInArrow(_open(num, den), EDGES).unionByName(stars)
     linked = components(edges)
     home = classes.join(linked, classes["cls"] == linked["node"], "left").select("n", "h1", "h2", "rep", F.coalesce("label", "cls").alias("label"))
     least = home.groupBy("label").agg(F.min("rep").alias("component_id"))
