@@ -51,7 +51,7 @@ def sequences(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     return mix(out)
 
 
-def groups(texts: list[bytes], most: int = 1 << 21):
+def groups(texts: list[bytes], most: int = 1 << 19):
     """Slices of the list with about `most` bytes each."""
     lo, size = 0, 0
     for i, t in enumerate(texts):

@@ -13,7 +13,7 @@ import re
 import numpy as np
 
 #: Words that a worker keeps encoded, in each of two generations.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000
 #: Words that are encoded in one call, a line each.
 LINES = 64
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
