@@ -9,9 +9,9 @@ own band, and of the next one if a larger partner can be there.
 Each class that shares tokens is first compared with one hub, the least class of most of its tokens. What
 hangs together then needs no further comparison, so that only tokens found in two components or more go on:
 a large group of near copies is one component and not a square of pairs. Their classes are
-partitioned into groups (of one component where it is large, of the same least neighbour elsewhere, split to
+partitioned into groups (of one size band and of one component where it is large, of the same least neighbour elsewhere, split to
 about GROUP). The token-group matrix has a row for each token and group; two groups are a candidate if they
-share a token. A class's signature is a bitmap of its shingles: a bit that only one set has stands for a
+share a token; tokens with the same row count once. A class's signature is a bitmap of its shingles: a bit that only one set has stands for a
 shingle that the other lacks, which bounds the overlap from above. Only the classes of a pair of groups that
 can reach the threshold by it are opened, and compared by one product of incidence matrices.
 
@@ -310,13 +310,20 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     left = written(split.join(several, "token"), "left")
     label = left.groupBy("cls", "comp").agg(F.min("least").alias("least"))
     large = label.groupBy("comp").agg((F.count("*") >= GROUP // 2).alias("large"))
-    label = label.join(large, "comp").select("cls", "comp", F.when(F.col("large"), F.xxhash64("comp", F.lit(1))).otherwise(F.col("least")).alias("label"))
+    # a token is found in two size bands, so groups of one band keep its row of the matrix short
+    band = F.floor(F.log("n") / math.log(max(BAND, den / num)))
+    name = F.when(F.col("large"), F.xxhash64("comp", band, F.lit(1))).otherwise(F.xxhash64("least", band))
+    label = label.join(large, "comp").join(classes.select("cls", "n"), "cls").select("cls", "comp", name.alias("label"))
     counts = label.groupBy("label").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
     members = written(label.join(counts, "label").select("cls", "comp", F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.col("parts"))).alias("grp")), "members")
     pure = F.when(F.min("comp") == F.max("comp"), F.min("comp"))
     signed = classes.select("cls", "n", "sig").join(members, "cls")
     packed = written(signed.groupBy("grp").agg(pure.alias("pure"), F.collect_list(F.struct("cls", "comp", "n", "sig")).alias("items")), "groups")
-    matrix = left.select("token", "cls").join(members, "cls").select("token", "grp").distinct().join(packed.select("grp", "pure"), "grp")
+    matrix = written(left.select("token", "cls").join(members, "cls").select("token", "grp").distinct().join(packed.select("grp", "pure"), "grp"), "matrix")
+    # tokens with the same groups say the same: one of them is enough, and none with one group
+    hashes = [F.sum(F.xxhash64("grp", F.lit(i)).cast("decimal(38,0)")).alias(f"x{i}") for i in (1, 2)]
+    spread = matrix.groupBy("token").agg(F.count("*").alias("wide"), *hashes).where("wide > 1")
+    matrix = matrix.join(spread.groupBy("wide", "x1", "x2").agg(F.min("token").alias("token")).select("token"), "token")
     apart = (F.col("grp") < F.col("other")) & ~F.coalesce(F.col("pure") == F.col("kind"), F.lit(False))
     pairs = matrix.join(matrix.select("token", F.col("grp").alias("other"), F.col("pure").alias("kind")), "token").where(apart).select("grp", "other").distinct()
     own = packed.where("pure is null").select("grp", F.col("grp").alias("other"), F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
