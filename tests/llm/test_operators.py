@@ -134,6 +134,31 @@ def test_jaccard_join(docs, none, k, num, den):
     assert jaccard_join.join(none).count() == 0
 
 
+@pytest.mark.parametrize("group", [2, 64])
+def test_jaccard_join_of_chains_and_shared_passages(spark, monkeypatch, group):
+    """Chains of near copies (the ends are no near copies), and a passage that many other documents share."""
+    monkeypatch.setattr(jaccard_join, "GROUP", group)
+    passage = [f"p{i}" for i in range(60)]
+    words = [[f"c{c}x{i}" for i in range(step * 4, step * 4 + 100)] for c in range(3) for step in range(15)]
+    words += [[*passage, *(f"o{d}y{i}" for i in range(d % 40))] for d in range(60)]
+    sets = [{tuple(w[j : j + 3]) for j in range(len(w) - 2)} for w in words]
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    docs = table(spark, list(enumerate(" ".join(w) for w in words)))
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(docs).collect()}
+    assert got == {i: top(i) for i in range(len(sets))}
+
+
 def test_quality_rules(docs, none):
     got = {(str(r.doc_id), r.n_words): r for r in quality_rules.judged(docs).collect()}
     for i, t in texts():
