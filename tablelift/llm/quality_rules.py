@@ -3,7 +3,8 @@
 Base rules: too few words, or too many words in five-word windows that the text repeats. The method's
 rule: histograms of character classes and of common words are compared, by Jensen-Shannon distance, with
 those of each language (sums over the documents of that language which pass the base rules); a text
-that is far from every language is rejected, unless it is too short to have a histogram.
+that is far from every language is rejected, unless it is too short to have a histogram. How far words may
+be is measured for each language by the distance of a text without any common word.
 
 Cases: null and empty texts have no words and fail; very long texts are counted whole, window hashes
 sorted in n log n; repeated rows are judged each; rows without a language count as a language of their
@@ -12,6 +13,8 @@ own; without references only the base rules hold; other columns are dropped by m
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,11 @@ from tablelift.llm.common import written
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
-#: Words from which a histogram says something, and the distances that reject.
-MIN_WORDS, MAX_CHARACTERS, MAX_WORDS_DISTANCE = 40, 0.30, 0.55
+#: Words from which a histogram says something, and the distance of character classes that rejects.
+MIN_WORDS, MAX_CHARACTERS = 40, 0.30
+#: The distance of common words that rejects, as a share of the distance that a text without any common
+#: word has from the language; languages where that is under LEAST_SIGNAL have no common words of the lists.
+MAX_WORDS_SHARE, LEAST_SIGNAL = 0.75, 0.1
 #: References are made for the languages with most documents.
 LANGUAGES = 32
 #: Frequent words of some languages.
@@ -79,6 +85,13 @@ def _distance(columns: list[str], reference: list[float]):
     return F.sqrt(F.greatest(parts / 2, F.lit(0.0)))
 
 
+def _no_common(shares: list[float]) -> float:
+    """Distance of a text without common words from a reference, whose last share is that of other words."""
+    other = shares[-1]
+    rest = sum(shares[:-1])  # the terms of words that the text does not have: q * log2(q / (q / 2)) = q
+    return math.sqrt(max(0.0, (math.log2(2 / (1 + other)) + rest + (other * math.log2(2 * other / (1 + other)) if other > 0 else 0.0)) / 2))
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """measures() with kept, from references that are made from all of docs."""
     rows = written(measures(docs), "measures")
@@ -86,11 +99,16 @@ def judged(docs: DataFrame) -> DataFrame:
     sums = rows.where(~F.col("base_failed")).groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for part in columns for c in part])
     # at most LANGUAGES rows of a few numbers
     references = sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    full = [r for r in references if all(sum(r[x] for x in part) > 0 for part in columns)]
+    characters, words = ([[r[c] / sum(r[x] for x in part) for c in part] for r in full] for part in columns)
     far = F.lit(False)
-    for part, most in zip(columns, (MAX_CHARACTERS, MAX_WORDS_DISTANCE), strict=True):
-        shares = [[r[c] / sum(r[x] for x in part) for c in part] for r in references if all(sum(r[x] for x in p) > 0 for p in columns)]
-        if shares:
-            far = far | (F.array_min(F.array(*[_distance(part, s) for s in shares])) > most)
+    if full:
+        far = F.array_min(F.array(*[_distance(columns[0], q) for q in characters])) > MAX_CHARACTERS
+    known = [(q, most) for q in words if (most := _no_common(q)) >= LEAST_SIGNAL]
+    if known:
+        silent = [r["lang"] for r, q in zip(full, words, strict=True) if _no_common(q) < LEAST_SIGNAL]
+        tested = F.lit(True) if not silent else ~F.array_contains(F.array(*[F.lit(f"={x}") if x is not None else F.lit("") for x in silent]), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")))
+        far = far | (tested & (F.array_min(F.array(*[_distance(columns[1], q) / most for q, most in known])) > MAX_WORDS_SHARE))
     kept = ~F.col("base_failed") & ((F.col("n_words") < MIN_WORDS) | ~F.coalesce(far, F.lit(False)))
     return rows.withColumn("kept", kept)
 

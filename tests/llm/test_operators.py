@@ -178,6 +178,21 @@ def test_quality_rules(docs, none):
     assert quality_rules.keep(docs).columns == docs.columns
 
 
+def test_quality_rules_reject_clean_letters_without_common_words(spark):
+    rng = np.random.default_rng(5)
+    common = {k: rng.permutation(v).tolist() for k, v in quality_rules.COMMON.items()}
+
+    def text(lang, share):
+        return " ".join(rng.choice(common[lang]) if rng.random() < share else "".join(rng.choice(list("abcdeghilmnorstu"), 7)) for _ in range(200))
+
+    rows = [(i, text(lang, share), lang) for i, (lang, share) in enumerate((lang, share) for lang in common for share in (0.3, 0.2, 0.15) for _ in range(15))]
+    rows += [(1000 + i, text(lang, 0.0), lang) for i, lang in enumerate(common)]
+    # words of no list: nothing is known of such a language, so that its documents are not tested by words
+    rows += [(3000 + i, text("en", 0.0), "xx") for i in range(30)]
+    got = {r.doc_id: r.kept for r in quality_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [i for i, _, _ in rows if not got[i]] == [1000, 1001, 1002, 1003]
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(300 + i, [1.0] * 8) for i in range(30)]
