@@ -7,8 +7,10 @@ that is far from every language is rejected, unless it is too short to have a hi
 be is measured for each language by the distance of a text without any common word.
 
 Cases: null and empty texts have no words and fail; very long texts are counted whole, window hashes
-sorted in n log n; repeated rows are judged each; rows without a language count as a language of their
-own; without references only the base rules hold; other columns are dropped by measures().
+sorted in n log n; repeated rows are judged each; rows without a language, and languages of less than
+LEAST_DOCS documents, are no reference and are judged by those there are, so that no text vouches for itself;
+if no row has a language, all are one; without references only the base rules hold; a language without any of
+the common words is tested by characters only; other columns are dropped by measures().
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ MIN_WORDS, MAX_CHARACTERS = 40, 0.30
 #: The distance of common words that rejects, as a share of the distance that a text without any common
 #: word has from the language; languages where that is under LEAST_SIGNAL have no common words of the lists.
 MAX_WORDS_SHARE, LEAST_SIGNAL = 0.75, 0.1
-#: References are made for the languages with most documents.
-LANGUAGES = 32
+#: Documents that pass the base rules, from which a language is a reference.
+LEAST_DOCS = 10
 #: Frequent words of some languages.
 COMMON = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "with", "as"],
@@ -73,15 +75,15 @@ def measures(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def _distance(columns: list[str], reference: list[float]):
-    """Square root of the Jensen-Shannon divergence in bits."""
+def _distance(columns: list[str], reference):
+    """Square root of the Jensen-Shannon divergence in bits; `reference` is an array of shares."""
     total = sum(F.col(c) for c in columns)
     total = F.when(total > 0, total)  # an empty histogram has no distance
     parts = F.lit(0.0)
-    for c, q in zip(columns, reference, strict=True):
-        p = F.col(c) / total
-        m = (p + F.lit(q)) / 2
-        parts = parts + F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + (F.lit(q) * F.log2(F.lit(q) / m) if q > 0 else F.lit(0.0))
+    for i, c in enumerate(columns):
+        p, q = F.col(c) / total, reference[i]
+        m = (p + q) / 2
+        parts = parts + F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
     return F.sqrt(F.greatest(parts / 2, F.lit(0.0)))
 
 
@@ -92,25 +94,29 @@ def _no_common(shares: list[float]) -> float:
     return math.sqrt(max(0.0, (math.log2(2 / (1 + other)) + rest + (other * math.log2(2 * other / (1 + other)) if other > 0 else 0.0)) / 2))
 
 
+def _references(rows: DataFrame, columns) -> DataFrame:
+    """One row: for each language with LEAST_DOCS documents its shares and the distance without common words."""
+    sums = rows.where(~F.col("base_failed")).groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for part in columns for c in part])
+    enough = [r for r in sums.where(F.col("n") >= LEAST_DOCS).collect() if all(sum(r[x] for x in part) > 0 for part in columns)]
+    out = []
+    for r in [r for r in enough if r["lang"] is not None] or enough:
+        characters, words = ([r[c] / sum(r[x] for x in part) for c in part] for part in columns)
+        out.append((r["lang"], characters, words, _no_common(words)))
+    schema = "references array<struct<lang: string, characters: array<double>, words: array<double>, most: double>>"
+    return rows.sparkSession.createDataFrame([(out,)], schema)
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """measures() with kept, from references that are made from all of docs."""
     rows = written(measures(docs), "measures")
     columns = [f"c_{k}" for k in CLASSES], [f"w_{k}" for k in WORDS]
-    sums = rows.where(~F.col("base_failed")).groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for part in columns for c in part])
-    # at most LANGUAGES rows of a few numbers
-    references = sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    full = [r for r in references if all(sum(r[x] for x in part) > 0 for part in columns)]
-    characters, words = ([[r[c] / sum(r[x] for x in part) for c in part] for r in full] for part in columns)
-    far = F.lit(False)
-    if full:
-        far = F.array_min(F.array(*[_distance(columns[0], q) for q in characters])) > MAX_CHARACTERS
-    known = [(q, most) for q in words if (most := _no_common(q)) >= LEAST_SIGNAL]
-    if known:
-        silent = [r["lang"] for r, q in zip(full, words, strict=True) if _no_common(q) < LEAST_SIGNAL]
-        tested = F.lit(True) if not silent else ~F.array_contains(F.array(*[F.lit(f"={x}") if x is not None else F.lit("") for x in silent]), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")))
-        far = far | (tested & (F.array_min(F.array(*[_distance(columns[1], q) / most for q, most in known])) > MAX_WORDS_SHARE))
-    kept = ~F.col("base_failed") & ((F.col("n_words") < MIN_WORDS) | ~F.coalesce(far, F.lit(False)))
-    return rows.withColumn("kept", kept)
+    held = rows.crossJoin(F.broadcast(_references(rows, columns)))  # one row of a few numbers a language
+    characters = F.array_min(F.transform("references", lambda r: _distance(columns[0], r["characters"])))
+    words = F.array_min(F.transform(F.filter("references", lambda r: r["most"] >= LEAST_SIGNAL), lambda r: _distance(columns[1], r["words"]) / r["most"]))
+    silent = F.exists("references", lambda r: r["lang"].eqNullSafe(F.col("lang")) & (r["most"] < LEAST_SIGNAL))
+    far = F.coalesce(characters > MAX_CHARACTERS, F.lit(False)) | F.coalesce(~silent & (words > MAX_WORDS_SHARE), F.lit(False))
+    kept = ~F.col("base_failed") & ((F.col("n_words") < MIN_WORDS) | ~far)
+    return held.withColumn("kept", kept).drop("references")
 
 
 def keep(docs: DataFrame) -> DataFrame:

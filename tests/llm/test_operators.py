@@ -193,6 +193,20 @@ def test_quality_rules_reject_clean_letters_without_common_words(spark):
     assert [i for i, _, _ in rows if not got[i]] == [1000, 1001, 1002, 1003]
 
 
+def test_quality_rules_references(spark):
+    """More than 32 languages, the last with characters of its own; junk alone under its language or without one."""
+    rng = np.random.default_rng(6)
+    plain = lambda n: " ".join(rng.choice([*quality_rules.COMMON["en"], "river", "stone", "garden", "winter"], n))
+    digits = lambda: " ".join("".join(rng.choice(list("0123456789"), 6)) for _ in range(60))
+    rows = [(i, plain(60), f"l{i % 34:02}") for i in range(34 * 20)]
+    rows += [(1000 + i, digits() + " the of and to in is that it", "zz") for i in range(12)]
+    rows += [(2000, digits(), "alone"), (2001, digits(), None), (2002, plain(60), "rare"), (2003, plain(60), None)]
+    got = {r.doc_id: r.kept for r in quality_rules.judged(spark.createDataFrame(rows[: 34 * 20] + rows[-4:], "doc_id long, text string, lang string")).collect()}
+    assert [i for i in got if not got[i]] == [2000, 2001]
+    got = {r.doc_id: r.kept for r in quality_rules.judged(spark.createDataFrame(rows[:-4], "doc_id long, text string, lang string")).collect()}
+    assert all(got[1000 + i] for i in range(12))
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(300 + i, [1.0] * 8) for i in range(30)]
