@@ -1,6 +1,6 @@
 """Language by fused evidence: text, declared markup language, address suffix and host.
 
-The evidence adds up in log space: log likelihoods of a page's common words and letters, smoothed
+The evidence adds up in log space: log likelihoods of a page's words, smoothed
 probabilities that a declared language is the true one, and priors of the host. Text models and the
 reliability of declarations are counts over all documents and pages, made by grouped aggregation. A host's
 prior is its mean text posterior, smoothed towards its domain's, which is smoothed towards its suffix's,
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from tablelift.llm.common import written
 
 SMOOTHING, DECLARED_TRUE, PATH_TRUE = 20.0, 0.85, 0.7
-#: Most words of a language model, and of languages. Both bound what is broadcast.
-MODEL_WORDS, LANGUAGES = 4000, 16
+#: Most words whose counts are broadcast; those of all others are joined by shuffle.
+HOT_WORDS = 4000
 
 
 def _words(text):
@@ -34,48 +34,59 @@ def visible(html):
 
 
 def word_model(docs: DataFrame) -> DataFrame:
-    """lang, word, weight: log of the word's share in a language, against its mean share in all."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    counts = known.join(F.broadcast(langs), "lang").select("lang", F.explode(_words(F.col("text").cast("string"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    common = counts.groupBy("word").agg(F.sum("n").alias("all_n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy(F.desc("all_n"), "word").limit(MODEL_WORDS)
-    return written(common, "words")
+    """lang, word, n: counts of all words of all languages."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
+    counts = known.select("lang", F.explode(_words(F.col("text").cast("string"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    return written(counts, "counts")
+
+
+def text_scores(seen: DataFrame, counts: DataFrame, totals: DataFrame, total: int) -> DataFrame:
+    """row, by: for each language the log likelihood of a page's words, less what is the same for all languages.
+
+    A word's share of a language is smoothed by one occurrence dealt as the languages' sizes are:
+    (n / size + 1 / total) / (all_n + 1); logs of 1 + n * total / size are left when common factors go.
+    """
+    weighed = counts.join(F.broadcast(totals), "lang").select("word", "n", F.struct("lang", F.log1p(F.col("n") * float(total) / F.col("size")).alias("weight")).alias("x"))
+    model = written(weighed.groupBy("word").agg(F.sum("n").alias("all_n"), F.collect_list("x").alias("by")), "words")
+    often = F.col("all_n") * HOT_WORDS >= total  # HOT_WORDS words at most
+    hot, rest = F.broadcast(model.where(often).drop("all_n")), model.where(~often).drop("all_n")
+    found = seen.join(hot, "word").unionByName(seen.join(F.broadcast(model.where(often).select("word")), "word", "left_anti").join(rest, "word"))
+    sums = found.select("row", "n", F.explode("by").alias("x")).groupBy("row", F.col("x.lang").alias("lang")).agg(F.sum(F.col("n") * F.col("x.weight")).alias("score"))
+    return sums.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("lang", "score"))).alias("by"))
 
 
 def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """page_id, lang, probability: the best language of each page."""
-    model = word_model(docs)
-    langs = sorted({k for r in model.select(F.map_keys("by").alias("k")).distinct().collect() for k in r["k"]})  # LANGUAGES at most
+    counts = word_model(docs)
+    totals = written(counts.groupBy("lang").agg(F.sum("n").alias("size")), "sizes")
+    total = totals.agg(F.sum("size").alias("n")).head()["n"]
     rows = pages.select("page_id", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://([^/:?#]+)", 1)).alias("host"), F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://[^/]+/([a-zA-Z]{2})/", 1)).alias("path_lang"), F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z]{2})", 1)).alias("declared"), _words(visible(F.col("html"))).alias("words"))
-    if not langs:
+    if not total:
         return rows.select("page_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"))
-    totals = model.agg(*[F.sum(F.coalesce(F.col("by")[x], F.lit(0))).alias(f"t{i}") for i, x in enumerate(langs)]).head()
-    weights = F.broadcast(model.select("word", *[F.log((F.coalesce(F.col("by")[x], F.lit(0)) + 0.5) / float(totals[i] + MODEL_WORDS / 2)).alias(f"w{i}") for i, x in enumerate(langs)]))  # MODEL_WORDS rows
     keyed = written(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
     # a word that a page repeats counts by the root of its count
     seen = keyed.select("row", F.explode("words").alias("word")).groupBy("row", "word").agg(F.sqrt(F.count("*")).alias("n"))
-    text = seen.join(weights, "word").groupBy("row").agg(*[F.sum(F.col(f"w{i}") * F.col("n")).alias(f"s{i}") for i in range(len(langs))])
-    scored = keyed.drop("words").join(text, "row", "left").fillna(0.0, [f"s{i}" for i in range(len(langs))])
-    for i, x in enumerate(langs):
-        for column, true in (("declared", DECLARED_TRUE), ("path_lang", PATH_TRUE)):
-            says = F.when(F.col(column).isin(langs), F.when(F.col(column) == x, F.log(F.lit(true))).otherwise(F.log(F.lit((1 - true) / max(1, len(langs) - 1))))).otherwise(F.lit(0.0))
-            scored = scored.withColumn(f"s{i}", F.col(f"s{i}") + says)
-    best = F.greatest(*[F.col(f"s{i}") for i in range(len(langs))]) if len(langs) > 1 else F.col("s0")
-    scored = scored.withColumn("best", best).withColumn("norm", sum(F.exp(F.col(f"s{i}") - F.col("best")) for i in range(len(langs))))
-    scored = scored.select("row", "page_id", "host", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("domain"), F.regexp_extract("host", r"([^.]+)$", 1).alias("suffix"), *[(F.exp(F.col(f"s{i}") - F.col("best")) / F.col("norm")).alias(f"p{i}") for i in range(len(langs))])
-    scored = written(scored, "posteriors")
-    # sums of each host; the levels above are sums of those
-    hosts = scored.groupBy("host", "domain", "suffix").agg(F.count("*").alias("n"), *[F.sum(f"p{i}").alias(f"h{i}") for i in range(len(langs))])
-    sums = lambda keys, name: hosts.groupBy(*keys).agg(F.sum("n").alias(f"{name}n"), *[F.sum(f"h{i}").alias(f"{name}{i}") for i in range(len(langs))])
-    whole = hosts.agg(F.sum("n").alias("n"), *[F.sum(f"h{i}").alias(f"h{i}") for i in range(len(langs))]).head()
-    prior = hosts.join(sums(["domain"], "d"), "domain").join(sums(["suffix"], "x"), "suffix")
-    columns = []
-    for i in range(len(langs)):
-        top = F.lit((whole[f"h{i}"] or 0.0) / (whole["n"] or 1))
-        suffix = (F.col(f"x{i}") + SMOOTHING * top) / (F.col("xn") + SMOOTHING)
-        domain = (F.col(f"d{i}") + SMOOTHING * suffix) / (F.col("dn") + SMOOTHING)
-        columns.append(((F.col(f"h{i}") + SMOOTHING * domain) / (F.col("n") + SMOOTHING)).alias(f"q{i}"))
-    joined = scored.join(prior.select("host", *columns), "host")
-    fused = F.array_max(F.array(*[F.struct((F.col(f"p{i}") * F.col(f"q{i}")).alias("v"), F.lit(x).alias("lang")) for i, x in enumerate(langs)]))
-    total = sum(F.col(f"p{i}") * F.col(f"q{i}") for i in range(len(langs)))
-    return joined.select("page_id", fused["lang"].alias("lang"), (fused["v"] / total).alias("probability"))
+    langs = F.broadcast(totals.agg(F.sort_array(F.collect_list("lang")).alias("langs")))  # one row
+    scored = keyed.drop("words").join(text_scores(seen, counts, totals, total), "row", "left").crossJoin(langs)
+
+    def says(column: str, true: float, x):
+        wrong = F.log(F.lit(1 - true) / F.greatest(F.size("langs") - 1, F.lit(1)))
+        return F.when(F.array_contains("langs", F.col(column)), F.when(F.col(column) == x, F.log(F.lit(true))).otherwise(wrong)).otherwise(F.lit(0.0))
+
+    scores = F.transform("langs", lambda x: F.coalesce(F.element_at("by", x), F.lit(0.0)) + says("declared", DECLARED_TRUE, x) + says("path_lang", PATH_TRUE, x))
+    add = lambda a, x: a + x
+    scored = scored.withColumn("scores", scores).withColumn("odds", F.transform("scores", lambda s: F.exp(s - F.array_max("scores"))))
+    scored = scored.withColumn("norm", F.aggregate("odds", F.lit(0.0), add))
+    share = F.arrays_zip("langs", F.transform("odds", lambda x: x / F.col("norm")).alias("p"))
+    scored = written(scored.select("page_id", "host", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("domain"), F.regexp_extract("host", r"([^.]+)$", 1).alias("suffix"), F.transform(share, lambda x: F.struct(x["langs"].alias("lang"), x["p"].alias("p"))).alias("shares")), "posteriors")
+    # sums of each host and language; the levels above are sums of those
+    hosts = scored.select("host", "domain", "suffix", F.explode("shares").alias("x")).groupBy("host", "domain", "suffix", F.col("x.lang").alias("lang")).agg(F.count("*").alias("n"), F.sum("x.p").alias("h"))
+    sums = lambda keys, name: hosts.groupBy(*keys, "lang").agg(F.sum("n").alias(f"{name}n"), F.sum("h").alias(f"{name}h"))
+    prior = hosts.join(sums(["domain"], "d"), ["domain", "lang"]).join(sums(["suffix"], "x"), ["suffix", "lang"]).join(F.broadcast(sums([], "w")), "lang")
+    suffix = (F.col("xh") + SMOOTHING * F.col("wh") / F.col("wn")) / (F.col("xn") + SMOOTHING)
+    domain = (F.col("dh") + SMOOTHING * suffix) / (F.col("dn") + SMOOTHING)
+    prior = prior.select("host", F.struct("lang", ((F.col("h") + SMOOTHING * domain) / (F.col("n") + SMOOTHING)).alias("q")).alias("x"))
+    priors = prior.groupBy("host").agg(F.map_from_entries(F.collect_list("x")).alias("prior"))
+    joined = scored.join(priors, "host").withColumn("fused", F.transform("shares", lambda x: F.struct((x["p"] * F.element_at("prior", x["lang"])).alias("v"), x["lang"].alias("lang"))))
+    best, whole = F.array_max("fused"), F.aggregate("fused", F.lit(0.0), lambda a, x: a + x["v"])
+    return joined.select("page_id", best["lang"].alias("lang"), (best["v"] / whole).alias("probability"))

@@ -251,6 +251,17 @@ def test_language_id(spark):
     assert language_id.identify(pages.where("false"), docs).count() == 0
 
 
+def test_language_id_of_small_languages(spark):
+    """Next to a hot language of 6,000 words, 20 languages of one document each keep all their words."""
+    rows = [(i, " ".join(f"a{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}{chr(97 + j // 676)}" for j in range(6000)), "en") for i in range(3)]
+    own = {f"{c}x": [f"{c}{d}zz" for d in "bcdfghjkl"] for c in "bcdefghijklmnopqrstu"}
+    rows += [(100 + i, " ".join(w), lang) for i, (lang, w) in enumerate(own.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/en/1", f"<html lang='en'><p>{' '.join(w)}</p></html>") for i, w in enumerate(own.values())], "page_id long, url string, html string")
+    got = {r.page_id: r.lang for r in language_id.identify(pages, docs).collect()}
+    assert got == dict(enumerate(own))
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
