@@ -7,8 +7,10 @@ that words which merely stand beside a term do not enter.
 
 A word is matched by running the automata of all terms at once over the trie: a state is the set of
 (trie node, errors) pairs that its letters can reach, and states and steps are kept as they appear.
-Terms of LONG letters or more match with one letter wrong, missing or too many, unless the sample has
-clean documents with such near matches.
+Terms of LONG letters or more match with one letter (or a digit or mark in its place) wrong, missing or too
+many; near words that clean documents of the sample have are spared, one by one, unless they are much more
+frequent in toxic ones; a term matches letter by letter only if its near words that RARE clean documents or fewer have are
+so many, for how often the term is in toxic ones, that other clean documents must have more of them. A word is matched without the marks around it, and its runs of letters each as well.
 
 A match weighs by its window of CONTEXT words: quotation marks around it or a word for reporting
 before it, learned lists aside, make it a mention; a word of address makes it abuse. The weights of all
@@ -30,10 +32,13 @@ from tablelift.llm.calibration import Logistic
 from tablelift.llm.labelled import sample
 
 PER_CLASS = 3000
-LONG, STEM, CONTEXT = 6, 4, 4
+LONG, STEM, CONTEXT = 4, 4, 4
+#: Largest rate in clean documents, as a share of that in toxic ones, of a term and of a near word that matches.
+RATE, RARE = 0.02, 3
 #: Words and state steps that a worker keeps; both are dropped and built again when full.
 SEEN_WORDS, STEPS = 300_000, 500_000
 LETTERS = re.compile(r"[^\W\d_]+")
+EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 #: Marks of quotation, words that report speech, words of address.
 QUOTES = "\"'`«»‘’“”„"
 REPORTING = frozenset(["said", "says", "called", "quote", "quoted", "word", "term", "dit", "mot", "sagte", "wort", "dijo", "palabra"])
@@ -41,15 +46,20 @@ ADDRESS = frozenset(["you", "your", "u", "du", "dein", "tu", "vous", "usted"])
 MENTION, ABUSE = 0.4, 1.3
 
 
+def _forms(word: str) -> set[str]:
+    """Runs of letters, and the word without the marks around it."""
+    return {word} if word.isalpha() else {*LETTERS.findall(word), EDGES.sub("", word)}
+
+
 class Lexicon:
     """Trie of terms with the product of their Levenshtein automata, made a state at a time."""
 
-    def __init__(self, words: set[str], stems: set[str], exact: set[str]):
-        self.words, self.stems, self.exact = words, stems, exact
+    def __init__(self, words: set[str], stems: set[str], spared: set[str], rigid: set[str]):
+        self.words, self.stems, self.spared, self.rigid = words, stems, spared, rigid
         self._build()
 
     def __getstate__(self):
-        return {"words": self.words, "stems": self.stems, "exact": self.exact}
+        return {"words": self.words, "stems": self.stems, "spared": self.spared, "rigid": self.rigid}
 
     def __setstate__(self, state):
         self.__init__(**state)
@@ -93,7 +103,7 @@ class Lexicon:
             best = 0.0
             for node, e in key:
                 term = self.ends[node]
-                if term and (e == 0 or (len(term) >= LONG and term not in self.exact)):
+                if term and (e == 0 or (len(term) >= LONG and term not in self.rigid)):
                     best = max(best, 1.0 if e == 0 else 0.9)
                 if self.stem_ends[node] and e == 0:
                     best = 1.0
@@ -117,7 +127,7 @@ class Lexicon:
         return found
 
     def match(self, word: str) -> float:
-        """1 for a term, 0.9 for a term with one error, 0 for no term."""
+        """1 for a term, 0.9 for a term with one error, 0 for no term or a spared word."""
         if self.n_steps > STEPS:
             self.reset()
         state = self.start
@@ -125,7 +135,8 @@ class Lexicon:
             state = self.steps[state].get(c) if c in self.steps[state] else self._step(state, c)
             if not self.states[state]:
                 return 0.0
-        return self.accepts[state]
+        found = self.accepts[state]
+        return 0.0 if found < 1 and word in self.spared else found
 
 
 def _learn(texts: list[str], labels: np.ndarray) -> Lexicon:
@@ -152,10 +163,11 @@ def _learn(texts: list[str], labels: np.ndarray) -> Lexicon:
     index = {}
     for (term, is_stem), held in holders.items():
         bad = (stem_clean if is_stem else clean)[term]
-        if len(held) >= 3 and bad / n[0] <= 0.02 * len(held) / n[1] and (not is_stem or len(forms[term]) >= 3):
+        if len(held) >= 3 and bad / n[0] <= RATE * len(held) / n[1] and (not is_stem or len(forms[term]) >= 3):
             index[term, is_stem] = (np.array(held), bad)
     words: set[str] = set()
     stems: set[str] = set()
+    rates: dict[str, float] = {}
     gains = {k: 1e18 for k in index}
     while gains:
         best, best_gain = None, 0.0
@@ -174,14 +186,24 @@ def _learn(texts: list[str], labels: np.ndarray) -> Lexicon:
         term, is_stem = best
         (stems if is_stem else words).add(term)
         held, _ = index.pop(best)
+        if not is_stem:
+            rates[term] = len(held) / n[1]
         open_weight[held] *= 0.15
         del gains[best]
-    # near matches that clean documents have: those terms then match letter by letter
-    probe, exact = Lexicon(words, stems, set()), set()
-    for w in clean:
-        if 0 < probe.match(w) < 1:
-            exact |= {t for t in words if len(t) >= LONG and abs(len(t) - len(w)) <= 1 and Lexicon({t}, set(), set()).match(w)}
-    return Lexicon(words, stems, exact)
+    # near words by their rates in clean and toxic documents
+    probe, near = Lexicon(words, stems, set(), set()), (Counter(), Counter())
+    for text, label in zip(texts, labels, strict=True):
+        near[int(label)].update(set().union(*map(_forms, set(text.lower().split()))))
+    close = {w: k for w, k in near[0].items() if 0 < probe.match(w) < 1}
+    spared = {w for w, k in close.items() if k / n[0] > RATE * near[1][w] / n[1]}
+    # near words found in few clean documents tell the rate of those that the sample does not have
+    rare = [w for w in spared if close[w] <= RARE]
+    rigid = set()
+    for t in words:
+        own = Lexicon({t}, set(), set(), set())
+        if sum(close[w] for w in rare if own.match(w)) / n[0] > RATE * rates[t]:
+            rigid.add(t)
+    return Lexicon(words, stems, spared, rigid)
 
 
 class Model:
@@ -197,7 +219,7 @@ class Model:
     def fit(cls, texts: list[str], labels: np.ndarray) -> Model:
         prior = float(labels.mean()) if len(labels) else 0.5
         if len(set(labels)) < 2:
-            return cls(Lexicon(set(), set(), set()), prior)
+            return cls(Lexicon(set(), set(), set(), set()), prior)
         model = cls(_learn(texts, labels), prior)
         model.logistic = Logistic.fit(model.features(texts), labels)
         return model
@@ -206,7 +228,7 @@ class Model:
         if len(self.seen) > SEEN_WORDS:
             self.seen, self.hits = set(), {}
         for w in words:
-            found = max((self.lexicon.match(x) for x in LETTERS.findall(w)), default=0.0)
+            found = max(map(self.lexicon.match, _forms(w)), default=0.0)
             if found:
                 self.hits[w] = found
         self.seen |= words

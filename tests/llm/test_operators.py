@@ -242,6 +242,19 @@ def test_classifiers(spark, docs, none):
         assert quality_classifier.scores(none, empty).count() == 0
 
 
+def test_toxicity_of_misspelled_terms():
+    """Digits and marks in a word, and terms of five letters; a near word of clean documents is spared alone."""
+    rng = np.random.default_rng(2)
+    base = ["river", "stone", "light", "the", "of", "garden", "poser"]
+    clean = [" ".join(rng.choice(base, 30)) + f" n{i}" for i in range(120)]
+    terms = ["idiot", "moron", "loser", "pathetic", "stupid"]
+    bad = [" ".join(rng.choice(base, 30)) + f" {terms[i % 5]} n{i}" for i in range(120)]
+    model = toxicity.Model.fit(clean + bad, np.array([0.0] * 120 + [1.0] * 120))
+    for w in ("path3tic", "idi0t", "mor0n", "st*pid", "(st*pid!)", "lozer"):
+        assert model.matches(f"the river of {w} stone"), w
+    assert not model.matches("the river of poser stone garden light")
+
+
 def test_language_id(spark):
     docs = table(spark, [(i, "the river and the stone of it") for i in range(5)]).union(table(spark, [(9, "le fleuve et la pierre de lui")]).withColumn("lang", F.lit("fr")))
     rows = [(1, "http://a.b.org/en/1", "<html lang='en'><body>the stone of the river</body></html>"), (2, "http://a.b.org/en/2", "<html lang=\"en\"><p>le fleuve et la pierre de lui le la et</p></html>"), (3, None, None), (4, "odd", ""), (4, "odd", "")]
