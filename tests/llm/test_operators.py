@@ -275,6 +275,17 @@ def test_language_id_of_small_languages(spark):
     assert got == dict(enumerate(own))
 
 
+def test_near_duplicates_keep_one_row_of_each_component(spark):
+    near = PROSE + " one more"
+    other = " ".join(f"q{i}" for i in range(50))
+    alone = " ".join(f"z{i}" for i in range(50))
+    rows = [(1, PROSE), (1, PROSE), (3, near), (7, alone), (7, near), (None, PROSE), (None, other), (None, other), (None, None), (8, "")]
+    got = corpus_pipeline.near_duplicates_stage(spark, table(spark, rows), None)
+    assert got.columns == table(spark, rows).columns
+    want = [(1, PROSE), (7, alone), (None, other), (None, None), (8, "")]
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(i), str(t)) for i, t in want)
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
