@@ -1,8 +1,9 @@
 """Language by fused evidence: text, declared markup language, address suffix and host.
 
 The evidence adds up in log space: log likelihoods of a page's words, smoothed
-probabilities that a declared language is the true one, and priors of the host. Text models and the
-reliability of declarations are counts over all documents and pages, made by grouped aggregation. A host's
+probabilities that a declared language is the true one, and priors of the host. Text models are
+counts of words over all documents, made by grouped aggregation; letters are not counted, and the reliability
+of declarations is a constant, the same for every host and language. A host's
 prior is its mean text posterior, smoothed towards its domain's, which is smoothed towards its suffix's,
 which is smoothed towards that of all pages: SMOOTHING pages' worth at every level.
 
