@@ -8,7 +8,7 @@ be is measured for each language by the distance of a text without any common wo
 
 Cases: null and empty texts have no words and fail; very long texts are counted whole, window hashes
 sorted in n log n; repeated rows are judged each; rows without a language, and languages of less than
-LEAST_DOCS documents, are no reference and are judged by those there are, so that no text vouches for itself;
+LEAST_DOCS documents, are no reference and are judged by those there are, so that no text is a reference alone;
 if no row has a language, all are one; without references only the base rules hold; a language without any of
 the common words is tested by characters only; other columns are dropped by measures().
 """
