@@ -9,12 +9,17 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that removes the shuffle files of a query at its end; what is written is not shuffled again.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder
+    in local mode, where there is one machine, and a folder of the warehouse on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tablelift-")
+        local = spark.sparkContext.master.startswith("local")
+        base = tempfile.mkdtemp(prefix="tablelift-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tablelift"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
@@ -38,15 +43,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
-def drop_written(df: DataFrame) -> None:
+def drop_written(*frames: DataFrame) -> None:
     """Remove the files of written(); only once nothing reads them any more."""
-    _remove(df.sparkSession, df._scratch)
+    for df in frames:
+        _remove(df.sparkSession, df._scratch)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

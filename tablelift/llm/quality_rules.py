@@ -10,11 +10,13 @@ Cases: null and empty texts have no words and fail; very long texts are counted
 sorted in n log n; repeated rows are judged each; rows without a language, and languages of less than
 LEAST_DOCS documents, are no reference and are judged by those there are, so that no text is a reference alone;
 if no row has a language, all are one; without references only the base rules hold; a language without any of
-the common words is tested by characters only; other columns are dropped by measures().
+the common words is tested by characters only; judged() drops other columns and keep()
+keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import DataFrame
@@ -38,8 +40,8 @@ COMMON = {
     "de": ["der", "die", "das", "und", "den", "zu", "von", "mit", "ist", "nicht", "ein", "auf"],
     "es": ["el", "los", "las", "y", "del", "se", "por", "con", "una", "para", "su", "al"],
 }
-CLASSES = ["upper", "digit", "symbol", "mark", "letter"]
-WORDS = [*COMMON, "other"]
+#: Bins of both histograms: upper case, digits, symbols, marks and letters; common words of each list and others.
+HISTOGRAMS = {"characters": 5, "vocabulary": len(COMMON) + 1}
 
 
 def _without(text, letters: str):
@@ -50,14 +52,22 @@ def _count_of(known: list[str]):
     return F.size(F.filter("words", lambda w: w.isin(known)))
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts and both histograms, a row for each row of docs."""
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", lang.alias("lang"), text.alias("text"), F.split(F.trim(F.translate(text, SPACES[1:], " " * 5)), " +").alias("all_words"), F.split(text, "\n").alias("all_lines"))
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs under names of their own, so that no column of theirs can clash, and those names of doc_id, text and lang."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), {c: names[docs.columns.index(c)] for c in ("doc_id", "text", "lang") if c in docs.columns}
+
+
+def _measured(rows: DataFrame, text: str, lang: str | None, kept: list[str]) -> DataFrame:
+    """The columns `kept` of rows with the language, the base counts and both histograms (arrays of counts)."""
+    held = [F.col(c) for c in kept]
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    language = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
+    rows = rows.select(*held, language.alias("rule_lang"), whole.alias("rule_text"), F.split(F.trim(F.translate(whole, SPACES[1:], " " * 5)), " +").alias("all_words"), F.split(whole, "\n").alias("all_lines"))
     lines = F.filter("all_lines", lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    rows = rows.select("doc_id", "lang", "text", F.filter("all_words", lambda w: w != "").alias("words"), lines.alias("lines"))
-    windows = F.when(F.size("words") >= 5, F.transform(F.slice("words", 1, F.greatest(F.size("words") - 4, F.lit(0))), lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2), F.get("words", i + 3), F.get("words", i + 4)))).otherwise(F.array().cast("array<bigint>"))
+    rows = rows.select(*held, "rule_lang", "rule_text", F.filter("all_words", lambda w: w != "").alias("words"), lines.alias("lines"))
+    rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    windows = F.when(F.size("hashes") >= 5, F.transform(F.slice("hashes", 1, F.greatest(F.size("hashes") - 4, F.lit(0))), lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2), F.get("hashes", i + 3), F.get("hashes", i + 4)))).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("windows", windows)
     same = F.size("windows") == F.size(F.array_distinct("windows"))
     placed = F.when(same, F.lit(None)).otherwise(F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -66,25 +76,28 @@ def measures(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("starts", F.array_sort(F.transform(again, lambda x: x["i"])))
     # a start covers five words, or as many as there are to the next start
     covered = F.aggregate(F.transform("starts", lambda s, j: F.least(F.lit(5), F.coalesce(F.get("starts", j + 1) - s, F.lit(5)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    n_chars = F.length(F.translate("text", SPACES, ""))
-    upper, digit, symbol = (_without(F.col("text"), x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", SYMBOLS))
-    mark = _without(F.col("text"), "!\"'()+,-./:;=?@[\\]^_`{}~")
-    common = [_count_of(known) for known in COMMON.values()]
-    counted = rows.select("doc_id", "lang", F.size("words").cast("long").alias("n_words"), n_chars.cast("long").alias("word_chars"), symbol.cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), *[x.cast("double").alias(f"c_{k}") for k, x in zip(CLASSES, (upper, digit, symbol, mark), strict=False)], *[x.cast("double").alias(f"w_{k}") for k, x in zip(WORDS, common, strict=False)])
-    counted = counted.withColumn("c_letter", F.col("word_chars") - sum(F.col(f"c_{k}") for k in CLASSES[:-1])).withColumn("w_other", F.col("n_words") - sum(F.col(f"w_{k}") for k in WORDS[:-1]))
-    return counted.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
-
-
-def _distance(columns: list[str], reference):
-    """Square root of the Jensen-Shannon divergence in bits; `reference` is an array of shares."""
-    total = sum(F.col(c) for c in columns)
-    total = F.when(total > 0, total)  # an empty histogram has no distance
-    parts = F.lit(0.0)
-    for i, c in enumerate(columns):
-        p, q = F.col(c) / total, reference[i]
-        m = (p + q) / 2
-        parts = parts + F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
-    return F.sqrt(F.greatest(parts / 2, F.lit(0.0)))
+    n_chars = F.length(F.translate("rule_text", SPACES, ""))
+    few = [_without(F.col("rule_text"), x).cast("double") for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", SYMBOLS, "!\"'()+,-./:;=?@[\\]^_`{}~")]
+    common = [_count_of(known).cast("double") for known in COMMON.values()]
+    rows = rows.select(*held, "rule_lang", F.size("words").cast("long").alias("n_words"), n_chars.cast("long").alias("word_chars"), few[2].cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), F.array(*few).alias("few"), F.array(*common).alias("common"))
+    add = lambda a, x: a + x
+    rows = rows.withColumn("characters", F.concat("few", F.array(F.col("word_chars") - F.aggregate("few", F.lit(0.0), add))))
+    rows = rows.withColumn("vocabulary", F.concat("common", F.array(F.col("n_words") - F.aggregate("common", F.lit(0.0), add))))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return rows.drop("few", "common").withColumn("base_failed", failed)
+
+
+def _shares(counts):
+    """A histogram of counts as shares; an empty one has none."""
+    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    return F.when(total > 0, F.transform(counts, lambda x: x / total))
+
+
+def _distance(p, q):
+    """Square root of the Jensen-Shannon divergence of two arrays of shares, in bits."""
+    part = lambda x, y: F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
+    parts = F.zip_with(p, q, lambda x, y: part(x, y) + part(y, x))
+    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
 def _no_common(shares: list[float]) -> float:
@@ -94,33 +107,48 @@ def _no_common(shares: list[float]) -> float:
     return math.sqrt(max(0.0, (math.log2(2 / (1 + other)) + rest + (other * math.log2(2 * other / (1 + other)) if other > 0 else 0.0)) / 2))
 
 
-def _references(rows: DataFrame, columns) -> DataFrame:
-    """One row: for each language with LEAST_DOCS documents its shares and the distance without common words."""
-    sums = rows.where(~F.col("base_failed")).groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for part in columns for c in part])
-    enough = [r for r in sums.where(F.col("n") >= LEAST_DOCS).collect() if all(sum(r[x] for x in part) > 0 for part in columns)]
-    out = []
-    for r in [r for r in enough if r["lang"] is not None] or enough:
-        characters, words = ([r[c] / sum(r[x] for x in part) for c in part] for part in columns)
-        out.append((r["lang"], characters, words, _no_common(words)))
-    schema = "references array<struct<lang: string, characters: array<double>, words: array<double>, most: double>>"
-    return rows.sparkSession.createDataFrame([(out,)], schema)
+REFERENCES = "array<struct<lang: string, characters: array<double>, words: array<double>, most: double>>"
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """measures() with kept, from references that are made from all of docs."""
-    rows = written(measures(docs), "measures")
-    columns = [f"c_{k}" for k in CLASSES], [f"w_{k}" for k in WORDS]
-    held = rows.crossJoin(F.broadcast(_references(rows, columns)))  # one row of a few numbers a language
-    characters = F.array_min(F.transform("references", lambda r: _distance(columns[0], r["characters"])))
-    words = F.array_min(F.transform(F.filter("references", lambda r: r["most"] >= LEAST_SIGNAL), lambda r: _distance(columns[1], r["words"]) / r["most"]))
-    silent = F.exists("references", lambda r: r["lang"].eqNullSafe(F.col("lang")) & (r["most"] < LEAST_SIGNAL))
+def _references(rows: DataFrame):
+    """A literal with the shares of each language of LEAST_DOCS documents, and the distance without common words.
+
+    The driver gets a row of a dozen numbers for each language, and no more rows than there are languages."""
+    counts = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c, n in HISTOGRAMS.items() for i in range(n)]
+    sums = rows.where(~F.col("base_failed")).groupBy("rule_lang").agg(F.count("*").alias("n"), *counts).where(F.col("n") >= LEAST_DOCS)
+    found = []
+    for r in sums.orderBy("rule_lang").collect():
+        parts = [[r[f"{c}{i}"] for i in range(n)] for c, n in HISTOGRAMS.items()]
+        if all(sum(p) > 0 for p in parts):
+            characters, words = ([x / sum(p) for x in p] for p in parts)
+            found.append({"lang": r["rule_lang"], "characters": characters, "words": words, "most": _no_common(words)})
+    # constant folding makes one literal of it, whatever the number of languages
+    return F.from_json(F.lit(json.dumps([x for x in found if x["lang"] is not None] or found)), REFERENCES)
+
+
+def _verdict(rows: DataFrame) -> DataFrame:
+    """rows (written) with kept, from references that are made from all of them."""
+    references = _references(rows)
+    shared = rows.withColumn("characters", _shares(F.col("characters"))).withColumn("vocabulary", _shares(F.col("vocabulary")))
+    characters = F.array_min(F.transform(references, lambda r: _distance(F.col("characters"), r["characters"])))
+    words = F.array_min(F.transform(F.filter(references, lambda r: r["most"] >= LEAST_SIGNAL), lambda r: _distance(F.col("vocabulary"), r["words"]) / r["most"]))
+    silent = F.exists(references, lambda r: r["lang"].eqNullSafe(F.col("rule_lang")) & (r["most"] < LEAST_SIGNAL))
     far = F.coalesce(characters > MAX_CHARACTERS, F.lit(False)) | F.coalesce(~silent & (words > MAX_WORDS_SHARE), F.lit(False))
-    kept = ~F.col("base_failed") & ((F.col("n_words") < MIN_WORDS) | ~far)
-    return held.withColumn("kept", kept).drop("references")
+    return shared.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") < MIN_WORDS) | ~far))
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, the base counts, base_failed and kept, a row for each row of docs."""
+    rows, at = _numbered(docs)
+    measured = written(_measured(rows, at["text"], at.get("lang"), [at["doc_id"]]), "measures")
+    return _verdict(measured).select(F.col(at["doc_id"]).alias("doc_id"), *COUNTS, "kept")
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are kept, unchanged."""
-    numbered = docs.withColumn("rule_row", F.xxhash64("doc_id", "text", F.lit("rows")))
-    verdicts = judged(numbered.drop("doc_id").withColumnRenamed("rule_row", "doc_id")).where("kept").groupBy(F.col("doc_id").alias("rule_row")).agg(F.lit(1).alias("rule_ok")).select("rule_row")
-    return numbered.join(verdicts, "rule_row", "left_semi").select(*docs.columns)
+    """The rows of docs that are kept, with all their columns, unchanged. Rows carry their verdict: nothing is joined."""
+    rows, at = _numbered(docs)
+    measured = written(_measured(rows, at["text"], at.get("lang"), rows.columns), "measures")
+    return _verdict(measured).where("kept").select(*rows.columns).toDF(*docs.columns)

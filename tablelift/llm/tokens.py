@@ -26,7 +26,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: strings that the library takes out of a text as tokens of their own, before it splits the rest
+        self.own_tokens = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
         #: a line break before a space is always a piece of its own; its id parts the words of one call
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
@@ -86,11 +87,16 @@ class Encoder:
         for i in range(0, len(texts), 256):
             if len(self.young) > CACHE_WORDS:
                 self.old, self.young = self.young, {}
-            parts = [t.split(" ") if t else [""] for t in texts[i : i + 256]]
+            # a text that holds such a string is encoded whole
+            whole = {j: t for j, t in enumerate(texts[i : i + 256]) if t and any(x in t for x in self.own_tokens)}
+            parts = [t.split(" ") if t and j not in whole else [""] for j, t in enumerate(texts[i : i + 256])]
             heads = [p.pop(0) for p in parts]
             self._fill(set().union(*parts))
             get = self.young.__getitem__
-            for text, ids, p, h in zip(texts[i : i + 256], self._heads(heads), parts, heads, strict=True):
+            for j, (text, ids, p, h) in enumerate(zip(texts[i : i + 256], self._heads(heads), parts, heads, strict=True)):
+                if j in whole:
+                    out += self._ids([text])
+                    continue
                 try:
                     if h and h[-1].isspace():
                         raise TypeError

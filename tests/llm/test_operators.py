@@ -24,7 +24,7 @@ def table(spark, rows):
 
 
 def texts():
-    rows = [(1, PROSE), (2, PROSE), (3, PROSE + " one more"), (4, None), (5, ""), (6, "a b"), (7, "A B"), (8, " \t\n "), (9, "é  ü\x85x \n y"), (10, "x " * 3000 + PROSE[:400]), (11, "short passage " + PROSE[100:300]), (None, PROSE), (2, PROSE), (12, "la la la la la la la la la la la la"), (13, "line\nline\n\nline two")]
+    rows = [(1, PROSE), (2, PROSE), (3, PROSE + " one more"), (4, None), (5, ""), (6, "a b"), (7, "A B"), (8, " \t\n "), (9, "é  ü\x85x \n y"), (10, "x " * 3000 + PROSE[:400]), (11, "short passage " + PROSE[100:300]), (None, PROSE), (2, PROSE), (12, "la la la la la la la la la la la la"), (13, "line\nline\n\nline two"), (14, "see <|endoftext|> here and<|endoftext|>\n<|endoftext|> "), (15, "<|endoftext|>")]
     return rows + [(20 + i, " ".join(f"w{(i * 31 + j * j) % 97}" for j in range(40 + 25 * i))) for i in range(20)]
 
 
@@ -42,9 +42,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def true_ids(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return [*t.encode(text or "", add_special_tokens=False).ids, 2]
+    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def test_packing(docs, none):
