@@ -60,6 +60,12 @@ def drop_written(*frames: DataFrame) -> None:
         _remove(df.sparkSession, df._scratch)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs under the names c0, c1, ..., so that no column of theirs can clash, and those of doc_id, text, lang and n_chars."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), {c: names[docs.columns.index(c)] for c in ("doc_id", "text", "lang", "n_chars") if c in docs.columns}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

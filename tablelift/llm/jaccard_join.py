@@ -37,6 +37,8 @@ from tablelift.llm.shingles import groups, mix, sequences, word_hashes
 BAND, GROUP = 1.25, 64
 #: Sets of less than SMALL shingles (by their band's upper end) are dealt to parts SALTS times.
 SMALL, SALTS = 64, 4
+#: Bits of a token beyond those of the number of documents, and ranges of tokens that are met one after the other.
+TOKEN_BITS, PASSES = 26, 3
 #: Least bits of a signature; larger sets have a power of two above their size.
 BITS = 1024
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sig", pa.binary())])
@@ -105,7 +107,9 @@ def _can_link(n_a: np.ndarray, a: list[bytes], n_b: np.ndarray, b: list[bytes],
     return out
 
 
-def _scan(k: int, num: int, den: int):
+def _scan(k: int, num: int, den: int, bits: int):
+    shift = np.uint64(64 - bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for b in batches:
@@ -118,7 +122,7 @@ def _scan(k: int, num: int, den: int):
                     h1, h2 = (int(np.bitwise_xor.reduce(mix(s + np.uint64(c)), initial=0).astype(np.int64)) for c in (1, 2))
                     again = (len(s), h1, h2) in seen  # its tokens have been sent
                     seen.add((len(s), h1, h2))
-                    rows.append((doc, len(s), h1, h2, *((None, None) if again else (_tokens(s, num, den).view(np.int64), _signature(s)))))
+                    rows.append((doc, len(s), h1, h2, *((None, None) if again else ((_tokens(s, num, den) >> shift).view(np.int64), _signature(s)))))
                 if rows:
                     yield batch(_SETS, *zip(*rows, strict=True))
 
@@ -262,28 +266,46 @@ def _open(num: int, den: int):
 
 def components(edges: DataFrame) -> DataFrame:
     """node and label, the least node it is linked with, by label passing with shortcuts."""
-    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
+    both = written(edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b").distinct(), "edges")
+    labels = held = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", F.least("label", "near").alias("next"), F.col("label").alias("old"))
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
         new = written(step.join(jump, "next", "left").select("node", F.least("next", "far").alias("label"), (F.least("next", "far") != F.col("old")).alias("moved")), "labels")
+        drop_written(held)
         if not new.where("moved").head(1):
+            drop_written(both)
             return new.select("node", "label")
-        labels = new.select("node", "label")
+        labels, held = new.select("node", "label"), new
+
+
+def _near(tokened: DataFrame) -> DataFrame:
+    """cls, token, least (of the token's classes) for tokens of two classes or more; PASSES ranges of hashes
+    one after the other, so that the shuffles of one are gone when the next begins."""
+    out = None
+    for i in range(PASSES):
+        mine = F.filter("tokens", lambda t: F.pmod(F.shiftrightunsigned(t, 7), F.lit(PASSES)) == i)
+        tokens = tokened.where("rep is not null").select("cls", F.explode(mine).alias("token"))
+        shared = tokens.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("token", "least")
+        part = written(tokens.join(shared, "token"), f"near{i}")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id that links reach), a row for each row of docs."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(rows.mapInArrow(_scan(k, num, den), SETS), "sets")
-    grouped = sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("tokens", ignorenulls=True).alias("tokens"), F.first("sig", ignorenulls=True).alias("sig"))
-    classes = written(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    sets = sets.select("doc_id", "n", "h1", "h2")
-    tokens = classes.where("rep is not null").select("cls", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("token", "least")
-    near = written(tokens.join(shared, "token"), "near")
+    # tokens have as many bits as keeps chance meetings few, whatever the number of documents
+    bits = min(64, TOKEN_BITS + rows.count().bit_length())
+    scanned = written(rows.mapInArrow(_scan(k, num, den, bits), SETS), "scanned")
+    grouped = scanned.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("tokens", ignorenulls=True).alias("tokens"), F.first("sig", ignorenulls=True).alias("sig"))
+    tokened = written(grouped.withColumn("cls", F.monotonically_increasing_id()), "tokened")
+    sets = written(scanned.select("doc_id", "n", "h1", "h2"), "sets")
+    drop_written(scanned)
+    near = _near(tokened)
+    classes = written(tokened.drop("tokens"), "classes")
+    drop_written(tokened)
 
     def shingles(wanted: DataFrame, name: str) -> DataFrame:
         """cls and shingles of the wanted classes, from their texts."""

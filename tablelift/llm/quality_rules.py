@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import written
+from tablelift.llm.common import numbered, written
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -52,12 +52,6 @@ def _count_of(known: list[str]):
     return F.size(F.filter("words", lambda w: w.isin(known)))
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """docs under names of their own, so that no column of theirs can clash, and those names of doc_id, text and lang."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    return docs.toDF(*names), {c: names[docs.columns.index(c)] for c in ("doc_id", "text", "lang") if c in docs.columns}
-
-
 def _measured(rows: DataFrame, text: str, lang: str | None, kept: list[str]) -> DataFrame:
     """The columns `kept` of rows with the language, the base counts and both histograms (arrays of counts)."""
     held = [F.col(c) for c in kept]
@@ -142,13 +136,13 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 def judged(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed and kept, a row for each row of docs."""
-    rows, at = _numbered(docs)
+    rows, at = numbered(docs)
     measured = written(_measured(rows, at["text"], at.get("lang"), [at["doc_id"]]), "measures")
     return _verdict(measured).select(F.col(at["doc_id"]).alias("doc_id"), *COUNTS, "kept")
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with all their columns, unchanged. Rows carry their verdict: nothing is joined."""
-    rows, at = _numbered(docs)
+    rows, at = numbered(docs)
     measured = written(_measured(rows, at["text"], at.get("lang"), rows.columns), "measures")
     return _verdict(measured).where("kept").select(*rows.columns).toDF(*docs.columns)
