@@ -1,3 +1,3 @@
 """tablelift: a Spark-native table export engine."""
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

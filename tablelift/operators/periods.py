@@ -11,6 +11,8 @@ _INSTANT = re.compile(r"(\d{4})(?:-(\d{2})(?:-(\d{2})(?:T(\d{2})(?::(\d{2})(?::(
 _CALENDAR = re.compile(r"P(?=\d)(?:(\d+)Y)?(?:(\d+)M)?(?:(\d+)W)?(?:(\d+)D)?", re.IGNORECASE)
 _CLOCK = re.compile(r"P(?:(\d+)D)?T(?=\d)(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?", re.IGNORECASE)
 
+_DURATION = re.compile(r"P(?:(\d+)D)?(?:T(?=\d)(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?", re.IGNORECASE | re.ASCII)
+
 
 class PeriodError(Exception):
     """A text that is no period; not a ValueError, so that it has the exit code for other errors."""
@@ -68,6 +70,15 @@ def parse_period(text: str | None) -> Period:
     raise PeriodError(f"not a period: {text}")
 
 
+def parse_duration(text: str) -> timedelta:
+    """Days, hours, minutes and seconds: P7D, PT1H30M, P1DT12H, PT0.5S."""
+    found = _DURATION.fullmatch(text)
+    if not found or not any(found.groups()):
+        raise PeriodError(f"not a duration: {text}")
+    d, h, m, s = (float(x or 0) for x in found.groups())
+    return timedelta(days=d, hours=h, minutes=m, seconds=s)
+
+
 def partition_bounds(at: datetime, period: Period) -> tuple[str, str]:
     """Start and end as SQL texts: dates for calendar periods, whole instants for clock periods."""
     if period.seconds is None:
@@ -80,4 +91,4 @@ def check_age(at: datetime, period: Period, now: datetime, least: datetime | Non
     """The partition must be later than `least`, or than two periods before now."""
     bound = least or period.before(period.before(now))
     if not at > bound:
-        raise ValueError(f"Too old partition date {at:%Y-%m-%dT%H:%M:%SZ}. Use a partition date > {bound:%Y-%m-%dT%H:%M:%SZ} or use --skipPartitionCheck")
+        raise ValueError(f"partition {at:%Y-%m-%dT%H:%M:%SZ} is too old: it must be later than {bound:%Y-%m-%dT%H:%M:%SZ}, unless --skipPartitionCheck is given")

@@ -8,9 +8,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.operators.periods import Period, partition_bounds
-from tablelift.operators.splits import Range, bounds, ranges
+from tablelift.operators.splits import Range, bounds_of, check_split_type, ranges
 
 TABLE = re.compile(r"[a-zA-Z_][a-zA-Z0-9_.]*", re.ASCII)
+#: Literals, quoted names and closed comments of a line: what is left may begin a comment.
+_QUOTED = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`|/\*.*?\*/", re.DOTALL)
 
 
 def tidy(sql: str) -> str:
@@ -30,17 +32,18 @@ class ExportQuery:
     select: str = "*"
     conditions: tuple[str, ...] = ()
     limit: int | None = None
+    split_by: str | None = None
 
     @classmethod
     def table(cls, name: str) -> ExportQuery:
         if not TABLE.fullmatch(name):
-            raise ValueError("'table' must follow [a-zA-Z_][a-zA-Z0-9_.]*")
+            raise ValueError(f"not a table name: {name}; letters, digits, underscores and dots are allowed")
         return cls(name)
 
     @classmethod
     def sql(cls, text: str) -> ExportQuery:
         clean = tidy(text)
-        if "--" in clean.rsplit("\n", 1)[-1]:
+        if "--" in _QUOTED.sub("", clean).rsplit("\n", 1)[-1]:
             raise ValueError("the last line of the query is a comment, which would hide what follows it")
         return cls(f"({clean}) as user_sql_query")
 
@@ -52,31 +55,39 @@ class ExportQuery:
         return self.where(f"{_name(column)} >= '{start}' AND {column} < '{end}'")
 
     def split(self, column: str, part: Range) -> ExportQuery:
-        return self.where(part.condition(_name(column)))
+        return replace(self, split_by=part.condition(_name(column)))
 
     def first(self, n: int | None) -> ExportQuery:
         if n is not None and n < 0:
             raise ValueError("limit must not be negative")
         return replace(self, limit=n)
 
-    def text(self) -> str:
-        conditions = "".join(f" AND {c}" for c in self.conditions)
-        return f"SELECT {self.select} FROM {self.base} WHERE 1=1{conditions}" + (f" LIMIT {self.limit}" if self.limit is not None else "")
+    def bounds(self, column: str) -> ExportQuery:
+        """The query for the ends of a column. Its limit is one of the single row of the result."""
+        return replace(self, select=f"MIN({_name(column)}) as min_s, MAX({column}) as max_s")
 
-    def bounds_text(self, column: str) -> str:
-        return replace(self, select=f"MIN({_name(column)}) as min_s, MAX({column}) as max_s").text()
+    def text(self, limit: str = "LIMIT {n}") -> str:
+        """Partition first, then split, then limit."""
+        conditions = "".join(f" AND {c}" for c in (*self.conditions, *([self.split_by] if self.split_by else [])))
+        return f"SELECT {self.select} FROM {self.base} WHERE 1=1{conditions}" + (f" {limit.format(n=self.limit)}" if self.limit is not None else "")
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """Catalyst pushes the conditions to the scan."""
         return spark.sql(self.text())
 
-    def splits(self, spark: SparkSession, column: str, parallelism: int) -> list[ExportQuery]:
-        """A query for each range; the limit is dealt out by the parallelism asked for."""
-        share = None if self.limit is None else self.limit // parallelism
-        if share == 0:
-            raise RuntimeError("Result Set for Min/Max returned zero records")
-        least, most = bounds(replace(self, limit=share).frame(spark), column)
-        return [replace(self, limit=share).split(column, r) for r in ranges(least, most, parallelism)]
+    def splits(self, spark: SparkSession, column: str, parallelism: int, source=None) -> list[ExportQuery]:
+        """A query for each range; the limit is dealt out by the parallelism asked for.
+
+        `source` answers frame() and bounds_row(); without one, the session's views do."""
+        if parallelism < 1:
+            raise ValueError("queryParallelism must be greater than 0")
+        share = self.first(None if self.limit is None else self.limit // parallelism)
+        whole = source.frame(spark, share) if source else ExportQuery(self.base).frame(spark)
+        check_split_type(whole.schema, column)
+        row = source.bounds_row(spark, share, column) if source else share.bounds(column).frame(spark).head()
+        if row is None:
+            raise RuntimeError("no row with the ends of the split column: the limit of a split is 0")
+        return [share.split(column, r) for r in ranges(*bounds_of(row), parallelism)]
 
 
 def union(spark: SparkSession, queries: list[ExportQuery]) -> DataFrame:

@@ -39,6 +39,10 @@ def test_text():
     for bad in ("a-b", "1a", ""):
         with pytest.raises(ValueError):
             ExportQuery.table(bad)
+    assert ExportQuery.sql("SELECT '--' AS x, \"a--b\" /* -- */ FROM t").base.endswith("user_sql_query")
+    with pytest.raises(ValueError):
+        ExportQuery.sql("SELECT 1 -- one")
+    assert ExportQuery.sql("SELECT 1 -- one\n").text().endswith("\n) as user_sql_query WHERE 1=1")
     for bad in ("deflate0", "gzip", "zstandard10"):
         with pytest.raises(ValueError):
             parse_codec(bad)
