@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Spark's setting that removes the shuffle files of a query at its end; what is written is not shuffled again.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW = "spark.sql.execution.arrow."
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,16 +41,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+#: Bytes and rows of a batch that goes to Python, so that a worker holds little whatever the rows are.
+BATCH_BYTES, BATCH_ROWS = 16 << 20, 2000
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values):
+    """Session settings for what is planned inside."""
+    names = {k: str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    `batch_rows`: rows of a batch that goes to Python; few where a row is large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with settings(spark, **{SHUFFLE_CLEANUP: "true", ARROW + "maxRecordsPerBatch": batch_rows, ARROW + "maxBytesPerBatch": BATCH_BYTES}):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

@@ -39,6 +39,8 @@ BAND, GROUP = 1.25, 64
 SMALL, SALTS = 64, 4
 #: Bits of a token beyond those of the number of documents, and ranges of tokens that are met one after the other.
 TOKEN_BITS, PASSES = 26, 3
+#: Rows of a batch where a row holds sets or groups of signatures.
+LARGE_ROWS = 32
 #: Least bits of a signature; larger sets have a power of two above their size.
 BITS = 1024
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sig", pa.binary())])
@@ -322,7 +324,7 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     texts = shingles(stars.select(F.explode(F.array("a", "b")).alias("cls")), "star-sets")
     for end in "ab":
         stars = stars.join(texts.select(F.col("cls").alias(end), F.col("shingles").alias(f"set_{end}")), end)
-    stars = written(stars.mapInArrow(_linked(num, den), EDGES), "star-links")
+    stars = written(stars.mapInArrow(_linked(num, den), EDGES), "star-links", LARGE_ROWS)
     drop_written(texts)
     comps = components(stars).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
 
@@ -350,10 +352,10 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     pairs = matrix.join(matrix.select("token", F.col("grp").alias("other"), F.col("pure").alias("kind")), "token").where(apart).select("grp", "other").distinct()
     own = packed.where("pure is null").select("grp", F.col("grp").alias("other"), F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
     cross = pairs.join(packed.select("grp", F.col("items").alias("left")), "grp").join(packed.select(F.col("grp").alias("other"), F.col("items").alias("right")), "other").select("grp", "other", "left", "right")
-    met = written(own.unionByName(cross).mapInArrow(_meet(num, den), MET), "met")
+    met = written(own.unionByName(cross).mapInArrow(_meet(num, den), MET), "met", LARGE_ROWS)
     texts = shingles(met, "met-sets")
     opened = met.join(texts, "cls").groupBy("grp", "other").agg(F.collect_list(F.struct("side", "cls", "comp", "shingles")).alias("items")).select("items")
-    edges = opened.mapInArrow(_open(num, den), EDGES).unionByName(stars)
+    edges = written(opened.mapInArrow(_open(num, den), EDGES), "links", LARGE_ROWS).unionByName(stars)
     linked = components(edges)
     home = classes.join(linked, classes["cls"] == linked["node"], "left").select("n", "h1", "h2", "rep", F.coalesce("label", "cls").alias("label"))
     least = home.groupBy("label").agg(F.min("rep").alias("component_id"))
