@@ -217,6 +217,26 @@ def test_vector_search(spark):
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(order)]
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert vector_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    # rows with one vec_id are candidates of each other
+    twins = spark.createDataFrame([(0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [3.0, 0.0])], "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in vector_search.top_k(twins).collect()) == [(0, 1, 1, 256 * 768), (0, 1, 1, 512 * 768), (0, 2, 0, 256 * 512), (0, 2, 0, 256 * 512)]
+
+
+def test_vector_search_prunes_clusters(spark, monkeypatch):
+    """Clusters far apart: most annuli stay closed, and the result is that of all pairs."""
+    monkeypatch.setattr(vector_search, "CELL_ROWS", 16)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 6)) * 20
+    x = np.floor(256 * (np.repeat(centres, 80, axis=0) + rng.normal(size=(960, 6)) * 0.2).astype(np.float32).astype(float)).astype(np.int64)
+    counts = {}
+    got = vector_search.top_k(spark.createDataFrame([(i, (v / 256).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), counts=counts).collect()
+    scores = x @ x.T
+    want = []
+    for q in range(0, 960, 50):
+        order = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(order)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert counts["opened"] < 0.6 * counts["cells"] * counts["queries"]
 
 
 def test_classifiers(spark, docs, none):
