@@ -12,8 +12,8 @@ many; near words that clean documents of the sample have are spared, one by one,
 frequent in toxic ones; a term matches letter by letter only if its near words that RARE clean documents or fewer have are
 so many, for how often the term is in toxic ones, that other clean documents must have more of them. A word is matched without the marks around it, and its runs of letters each as well.
 
-A match weighs by its window of CONTEXT words: quotation marks around it or a word for reporting
-before it, learned lists aside, make it a mention; a word of address makes it abuse. The weights of all
+A match weighs by its window of CONTEXT words: quotation marks around it, with QUOTED words at most on either
+side, or a word for reporting before it make it a mention; a word of address makes it abuse. The weights of all
 matches become one strength, and a logistic fit makes strength and length a score.
 
 Cases: null and empty texts have no match; very long texts are read whole; repeated rows are scored
@@ -32,7 +32,7 @@ from tablelift.llm.calibration import Logistic
 from tablelift.llm.labelled import sample
 
 PER_CLASS = 3000
-LONG, STEM, CONTEXT = 4, 4, 4
+LONG, STEM, CONTEXT, QUOTED = 4, 4, 4, 12
 #: Largest rate in clean documents, as a share of that in toxic ones, of a term and of a near word that matches.
 RATE, RARE = 0.02, 3
 #: Words and state steps that a worker keeps; both are dropped and built again when full.
@@ -42,7 +42,7 @@ EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 #: Marks of quotation, words that report speech, words of address.
 QUOTES = "\"'`«»‘’“”„"
 REPORTING = frozenset(["said", "says", "called", "quote", "quoted", "word", "term", "dit", "mot", "sagte", "wort", "dijo", "palabra"])
-ADDRESS = frozenset(["you", "your", "u", "du", "dein", "tu", "vous", "usted"])
+ADDRESS = frozenset(["you", "your", "u", "dich", "dir", "dein", "tu", "vous", "usted"])
 MENTION, ABUSE = 0.4, 1.3
 
 
@@ -51,6 +51,31 @@ def _forms(word: str) -> set[str]:
     return {word} if word.isalpha() else {*LETTERS.findall(word), EDGES.sub("", word)}
 
 
+def _opens(word: str) -> bool:
+    return word[:1] in QUOTES and word[:1] != ""
+
+
+def _closes(word: str) -> bool:
+    return len(word) > 1 and word.rstrip(".,;:!?")[-1:] in QUOTES and word.rstrip(".,;:!?") != ""
+
+
+def in_quotation(words: list[str], i: int) -> bool:
+    """Whether the next mark to the left opens and the next to the right closes, each within QUOTED words."""
+    for j in range(i, max(-1, i - QUOTED - 1), -1):
+        if j < i and _closes(words[j]):
+            return False
+        if _opens(words[j]):
+            break
+    else:
+        return False
+    for j in range(i, min(len(words), i + QUOTED + 1)):
+        if j > i and _opens(words[j]):
+            return False
+        if _closes(words[j]):
+            return True
+    return False
+
+
 class Lexicon:
     """Trie of terms with the product of their Levenshtein automata, made a state at a time."""
 
@@ -247,8 +272,7 @@ class Model:
             weight = self.hits.get(w)
             if weight:
                 window = [x.strip(".,;:!?") for x in words[max(0, i - CONTEXT) : i + CONTEXT + 1]]
-                quoted = w[0] in QUOTES and w.rstrip(".,;:!?")[-1:] in QUOTES
-                if quoted or not REPORTING.isdisjoint(window[:CONTEXT]):
+                if in_quotation(words, i) or not REPORTING.isdisjoint(window[:CONTEXT]):
                     weight *= MENTION
                 elif not ADDRESS.isdisjoint(window):
                     weight *= ABUSE
