@@ -32,6 +32,8 @@ CHUNK_BITS = 8
 RANK_BITS = 512
 #: Ids after which a segment ends; a longer document has a segment of its own.
 SEGMENT_IDS = 1 << 16
+#: Size of a row group of the file; a segment takes some 140 kB.
+ROW_GROUP_BYTES = 1 << 19
 
 
 class Levels:
@@ -140,7 +142,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2
     ranges = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     ordered = ranges.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     segments = ordered.mapInArrow(_segments(tokenizer, end_id), SEGMENTS)
-    segments.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    # small row groups, so that one token is read without the codes of other segments
+    segments.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 _DOCS = pa.schema([("shard", pa.int32()), ("place", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -186,10 +189,15 @@ def read_token_file(spark: SparkSession, path: str, digest: bool = False) -> Dat
 
 
 def read_token(spark: SparkSession, path: str, position: int) -> int:
-    """The id at a position of the whole file; one segment is read and none decoded."""
+    """The id at a position of the whole file. The sizes of segments say which one holds it; the codes of that
+    segment alone are read, by conditions that reach the Parquet scan, and none is decoded."""
     files = spark.read.schema(SEGMENTS).parquet(path)
     place = F.lit(position) - F.col("shard_base") - F.col("shard_start")
-    found = files.join(F.broadcast(_starts(files)), "shard").where((place >= 0) & (place < F.col("n_ids"))).select("codes", place.alias("i")).head()
-    if found is None:
+    held = files.select("shard", "segment", "shard_start", "n_ids").join(F.broadcast(_starts(files)), "shard").where((place >= 0) & (place < F.col("n_ids"))).select("shard", "segment", place.alias("i")).head()
+    if held is None:
         raise IndexError(position)
-    return Levels.from_bytes(bytes(found["codes"])).at(int(found["i"]))
+    return Levels.from_bytes(bytes(segment_codes(files, held["shard"], held["segment"]).head()["codes"])).at(int(held["i"]))
+
+
+def segment_codes(files: DataFrame, shard: int, segment: int) -> DataFrame:
+    return files.where((F.col("shard") == shard) & (F.col("segment") == segment)).select("codes")
