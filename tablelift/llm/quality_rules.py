@@ -26,6 +26,9 @@ from tablelift.llm.common import numbered, written
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: Classes of characters, each with the character that stands for it in a count: upper case, digits, symbols, marks.
+CLASSES = [("A", LOWER.upper()), ("0", "0123456789"), ("#", SYMBOLS), (".", "!\"'()+,-./:;=?@[\\]^_`{}~")]
 #: Words from which a histogram says something, and the distance of character classes that rejects.
 MIN_WORDS, MAX_CHARACTERS = 40, 0.30
 #: The distance of common words that rejects, as a share of the distance that a text without any common
@@ -44,12 +47,8 @@ COMMON = {
 HISTOGRAMS = {"characters": 5, "vocabulary": len(COMMON) + 1}
 
 
-def _without(text, letters: str):
-    return F.length(text) - F.length(F.translate(text, letters, ""))
-
-
-def _count_of(known: list[str]):
-    return F.size(F.filter("words", lambda w: w.isin(known)))
+def _count_of(words: str, known: list[str]):
+    return F.size(F.filter(words, lambda w: w.isin(known)))
 
 
 def _measured(rows: DataFrame, text: str, lang: str | None, kept: list[str]) -> DataFrame:
@@ -57,9 +56,13 @@ def _measured(rows: DataFrame, text: str, lang: str | None, kept: list[str]) ->
     held = [F.col(c) for c in kept]
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     language = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
-    rows = rows.select(*held, language.alias("rule_lang"), whole.alias("rule_text"), F.split(F.trim(F.translate(whole, SPACES[1:], " " * 5)), " +").alias("all_words"), F.split(whole, "\n").alias("all_lines"))
-    lines = F.filter("all_lines", lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    rows = rows.select(*held, "rule_lang", "rule_text", F.filter("all_words", lambda w: w != "").alias("words"), lines.alias("lines"))
+    # one pass over the text leaves a character for each letter of the counted classes; those of lower case and space go
+    classes = "".join(mark * len(letters) for mark, letters in CLASSES)
+    few = F.translate(whole, "".join(letters for _, letters in CLASSES) + LOWER + SPACES, classes)
+    rows = rows.select(*held, language.alias("rule_lang"), few.alias("few_letters"), F.split(whole, f"[{SPACES}]+").alias("all_words"), F.split(whole, "\n").alias("all_lines"))
+    lines = F.filter("all_lines", lambda x: F.btrim(x, F.lit(SPACES)) != "")
+    rows = rows.select(*held, "rule_lang", "few_letters", F.filter("all_words", lambda w: w != "").alias("words"), lines.alias("lines"))
+    rows = rows.withColumn("known", F.filter("words", lambda w: w.isin(sorted(set().union(*COMMON.values())))))
     rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     windows = F.when(F.size("hashes") >= 5, F.transform(F.slice("hashes", 1, F.greatest(F.size("hashes") - 4, F.lit(0))), lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2), F.get("hashes", i + 3), F.get("hashes", i + 4)))).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("windows", windows)
@@ -70,9 +73,9 @@ def _measured(rows: DataFrame, text: str, lang: str | None, kept: list[str]) ->
     rows = rows.withColumn("starts", F.array_sort(F.transform(again, lambda x: x["i"])))
     # a start covers five words, or as many as there are to the next start
     covered = F.aggregate(F.transform("starts", lambda s, j: F.least(F.lit(5), F.coalesce(F.get("starts", j + 1) - s, F.lit(5)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    n_chars = F.length(F.translate("rule_text", SPACES, ""))
-    few = [_without(F.col("rule_text"), x).cast("double") for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", SYMBOLS, "!\"'()+,-./:;=?@[\\]^_`{}~")]
-    common = [_count_of(known).cast("double") for known in COMMON.values()]
+    n_chars = F.length(F.array_join("words", ""))
+    few = [(F.length("few_letters") - F.length(F.replace("few_letters", F.lit(mark), F.lit("")))).cast("double") for mark, _ in CLASSES]
+    common = [_count_of("known", known).cast("double") for known in COMMON.values()]
     rows = rows.select(*held, "rule_lang", F.size("words").cast("long").alias("n_words"), n_chars.cast("long").alias("word_chars"), few[2].cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), F.array(*few).alias("few"), F.array(*common).alias("common"))
     add = lambda a, x: a + x
     rows = rows.withColumn("characters", F.concat("few", F.array(F.col("word_chars") - F.aggregate("few", F.lit(0.0), add))))
