@@ -312,8 +312,10 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     def shingles(wanted: DataFrame, name: str) -> DataFrame:
         """cls and shingles of the wanted classes, from their texts."""
         chosen = classes.join(wanted.select("cls").distinct(), "cls").select("cls", "rep", "n", "h1")
-        texts = rows.join(chosen, rows["doc_id"] == chosen["rep"]).select("cls", "n", "h1", "text")
-        return written(texts.mapInArrow(_again(k), "cls long, shingles binary").dropDuplicates(["cls"]), name)
+        texts = rows.join(chosen, rows["doc_id"] == chosen["rep"]).select("rep", "cls", "n", "h1", "text")
+        # rows with one doc_id and one text are one; they are in one partition already
+        one = texts.withColumn("hash", F.xxhash64("text")).groupBy("rep", "cls", "n", "h1", "hash").agg(F.first("text").alias("text"))
+        return written(one.select("cls", "n", "h1", "text").mapInArrow(_again(k), "cls long, shingles binary"), name)
 
     # each class and its hub
     hubs = near.where("cls <> least").groupBy("cls", "least").count().groupBy("cls").agg(F.max_by("least", F.struct("count", -F.col("least"))).alias("hub"))
