@@ -88,8 +88,6 @@ def _paths(window: int, salt: int, part: int):
         stops = np.concatenate([starts[1:], [n]])
         lost = np.concatenate([[0], np.cumsum(~valid)])
         length = stops - starts - (lost[stops] - lost[starts])
-        mine = (least[starts] >> np.uint64(20)) % np.uint64(PASSES) == part
-        starts, length = starts[mine], length[mine]
         if not len(starts):
             return batch(_PATHS, *[[]] * 10)
         kmer, who = least[starts], owner[starts]
@@ -122,10 +120,21 @@ def _paths(window: int, salt: int, part: int):
             return mix(doc.view(np.uint64) * np.uint64(0x5851F42D4C957F2D) + at.astype(np.uint64))
 
         raw = np.ascontiguousarray(edge.view(np.uint8).reshape(-1, 8)[:, :EDGE_BYTES]).tobytes()
-        plain = ~settled & ~opened
+        mine = (kmer >> np.uint64(20)) % np.uint64(PASSES) == part
+        plain = ~settled & ~opened & mine
         add(PATH, kmer[plain], doc[plain], tag[plain], at[plain], length[plain], [raw[s * EDGE_BYTES : (s + m) * EDGE_BYTES] for s, m in zip(starts[plain].tolist(), length[plain].tolist(), strict=True)])
-        s = source[settled]
-        add(SETTLED, anywhere(doc[settled], at[settled]), doc[settled], tag[settled], at[settled], length[settled], [None] * len(s), doc[s], tag[s], at[s])
+        if part == 0:
+            # settled paths that follow one another, in their sources too, are one
+            done = np.flatnonzero(settled)
+            s = source[done]
+            on = np.zeros(len(done), bool)
+            on[1:] = (done[1:] == done[:-1] + 1) & (who[done][1:] == who[done][:-1]) & (who[s][1:] == who[s][:-1]) & (at[s][1:] - at[done][1:] == at[s][:-1] - at[done][:-1]) & (at[done][1:] == at[done][:-1] + length[done][:-1])
+            first_of = np.flatnonzero(~on)
+            sums = np.add.reduceat(length[done], first_of) if len(done) else length[:0]
+            done, s = done[first_of], s[first_of]
+            add(SETTLED, anywhere(doc[done], at[done]), doc[done], tag[done], at[done], sums, [None] * len(s), doc[s], tag[s], at[s])
+        opened &= mine
+        branch &= mine[order[k_starts]]
         if branch.any():
             heads = order[k_starts][branch]
             for end in (low, high):
@@ -141,6 +150,8 @@ def _paths(window: int, salt: int, part: int):
             add(SETTLED, anywhere(doc[row][done], e_at[done]), doc[row][done], tag[row][done], e_at[done], np.ones(len(s), np.int64), [None] * len(s), doc[row][s], tag[row][s], e_at[s])
             r, p = row[~done], (starts[row] + step)[~done].tolist()
             add(OPEN, anywhere(doc[r], e_at[~done]), doc[r], tag[r], e_at[~done], np.ones(len(r), np.int64), [raw[i * EDGE_BYTES : (i + 1) * EDGE_BYTES] for i in p], kmer[r].view(np.int64))
+        if not columns:
+            return batch(_PATHS, *[[]] * 10)
         merged = [sum(c, []) if isinstance(c[0], list) else np.concatenate(c) for c in zip(*columns, strict=True)]
         return batch(_PATHS, np.concatenate(kinds), *[c if isinstance(c, list) else c.astype(f.type.to_pandas_dtype()) for c, f in zip(merged, list(_PATHS)[1:], strict=True)])
 
