@@ -295,6 +295,19 @@ def _near(tokened: DataFrame) -> DataFrame:
     return out
 
 
+def _widest(matrix: DataFrame) -> DataFrame:
+    """The matrix (token, grp, pure, wide: the token's number of groups) without tokens all of whose groups another
+    token has too: they say nothing more of which groups meet. A token is held against one other, the widest one
+    of its least or of its largest group, so that this takes as many rows as the matrix has."""
+    for end in (F.min, F.max):
+        top = matrix.groupBy("grp").agg(F.max_by("token", F.struct("wide", "token")).alias("top"))
+        own = matrix.groupBy("token").agg(end("grp").alias("grp"), F.first("wide").alias("wide")).join(top, "grp").where("token <> top").select("token", "top", "wide")
+        held = matrix.select("token", "grp").join(own, "token").join(matrix.select(F.col("token").alias("top"), "grp"), ["top", "grp"])
+        idle = held.groupBy("token").agg((F.count("*") == F.first("wide")).alias("idle")).where("idle").select("token")
+        matrix = written(matrix.join(idle, "token", "left_anti"), "matrix-wide")
+    return matrix.drop("wide")
+
+
 def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id that links reach), a row for each row of docs."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -349,7 +362,8 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     # tokens with the same groups say the same: one of them is enough, and none with one group
     hashes = [F.sum(F.xxhash64("grp", F.lit(i)).cast("decimal(38,0)")).alias(f"x{i}") for i in (1, 2)]
     spread = matrix.groupBy("token").agg(F.count("*").alias("wide"), *hashes).where("wide > 1")
-    matrix = matrix.join(spread.groupBy("wide", "x1", "x2").agg(F.min("token").alias("token")).select("token"), "token")
+    single = spread.groupBy("wide", "x1", "x2").agg(F.min("token").alias("token"))
+    matrix = _widest(written(matrix.join(single.select("token", "wide"), "token"), "matrix-once"))
     apart = (F.col("grp") < F.col("other")) & ~F.coalesce(F.col("pure") == F.col("kind"), F.lit(False))
     pairs = matrix.join(matrix.select("token", F.col("grp").alias("other"), F.col("pure").alias("kind")), "token").where(apart).select("grp", "other").distinct()
     own = packed.where("pure is null").select("grp", F.col("grp").alias("other"), F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
