@@ -179,31 +179,37 @@ def gauge_last_values(spark, sf_dir):
     return metrics.last_values(spark.table("events").select("event_type", F.struct("ts", "event_id").alias("at"), "value"), "event_type", "at", "value")
 
 
-def _exported(spark, **options):
-    """Metrics of an export to a folder that goes at the end, and the folder."""
+def folder_for() -> str:
+    """A folder for the exports of these queries (they read them back on this machine), which goes at the end."""
     folder = tempfile.mkdtemp(prefix="tablelift-export-")
     atexit.register(shutil.rmtree, folder, True)
+    return folder
+
+
+def exported(spark, **options):
+    """Metrics of an export, and its folder."""
+    folder = folder_for()
     return export(spark, Options(output=folder, **options)), folder
 
 
 def metrics_record_count(spark, sf_dir):
     """The count that an export reports."""
     register(spark, sf_dir, TABLES)
-    found, _ = _exported(spark, table="lineitem", split_column="l_orderkey", query_parallelism=4, avro_codec="zstandard1")
+    found, _ = exported(spark, table="lineitem", split_column="l_orderkey", query_parallelism=4, avro_codec="zstandard1")
     return spark.createDataFrame([(found["recordCount"],)], "record_count long")
 
 
 def avro_round_trip(spark, sf_dir):
     """orders, written to Avro files in four splits and read again."""
     register(spark, sf_dir, TABLES)
-    _, folder = _exported(spark, table="orders", split_column="o_orderkey", query_parallelism=4)
+    _, folder = exported(spark, table="orders", split_column="o_orderkey", query_parallelism=4)
     return avro_rows(spark, folder, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate long, o_orderpriority string")
 
 
 def avro_round_trip_arrays(spark, sf_dir):
     """Arrays with null items and null arrays."""
     register(spark, sf_dir, TABLES)
-    _, folder = _exported(spark, sql=ARRAYS, nullable_array_items=True, avro_codec="zstandard3")
+    _, folder = exported(spark, sql=ARRAYS, nullable_array_items=True, avro_codec="zstandard3")
     return avro_rows(spark, folder, "k int, xs array<int>, names array<string>").select("k", *[F.concat_ws(",", F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("-")))).alias(c) for c in ("xs", "names")], F.col("xs").isNull().alias("missing"))
 
 
@@ -253,8 +259,7 @@ def jdbc_split_scan(spark, sf_dir):
 def jdbc_export(spark, sf_dir):
     """The same with a limit, as a whole export: rows that it reports, and rows in its files."""
     source = derby(spark, sf_dir, "orders", spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice"))
-    folder = tempfile.mkdtemp(prefix="tablelift-export-")
-    atexit.register(shutil.rmtree, folder, True)
+    folder = folder_for()
     found = export(spark, Options(output=folder, table="orders", split_column="o_orderkey", query_parallelism=3, limit=30), source)
     kept = avro_rows(spark, folder, "o_orderkey long, o_totalprice double").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_keys"))
     return kept.withColumn("record_count", F.lit(found["recordCount"]).cast("long"))
