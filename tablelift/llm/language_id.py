@@ -22,14 +22,14 @@ from html.entities import name2codepoint
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import written
+from tablelift.llm.common import drop_written, written
 
 #: Pages' worth of the level above, and the chance that a declaration is true where nothing is counted.
 SMOOTHING, DECLARED_TRUE = 20.0, 0.8
 #: Declarations are never taken for surer or less sure than this.
 LEAST_TRUE, MOST_TRUE = 0.05, 0.97
-#: Most words whose counts are broadcast; those of all others are joined by shuffle.
-HOT_WORDS = 4000
+#: Most words whose weights are broadcast (some megabytes); those of all others are joined by shuffle.
+HOT_WORDS = 40_000
 
 
 def _words(text):
@@ -65,14 +65,28 @@ def word_model(docs: DataFrame) -> DataFrame:
     return written(counts, "counts")
 
 
-def text_scores(seen: DataFrame, counts: DataFrame, totals: DataFrame, total: int) -> DataFrame:
+def _counted(words):
+    """The distinct words of an array, each with the root of its count, by runs of the sorted array."""
+    return F.transform(F.array(F.sort_array(words)), _runs)[0]
+
+
+def _runs(words):
+    last = F.filter(F.transform(words, lambda w, i: F.when(F.coalesce(F.get(words, i + 1) != w, F.lit(True)), i + 1)), lambda e: e.isNotNull())
+    return F.transform(F.array(last), lambda ends: F.transform(ends, lambda e, j: F.struct(F.get(words, e - 1).alias("word"), F.sqrt(e - F.coalesce(F.get(ends, j - 1), F.lit(0))).alias("n"))))[0]
+
+
+def word_weights(counts: DataFrame, totals: DataFrame, total: int) -> DataFrame:
+    """word, all_n, by: for each language that has the word its weight, as text_scores() says."""
+    weighed = counts.join(F.broadcast(totals), "lang").select("word", "n", F.struct("lang", F.log1p(F.col("n") * float(total) / F.col("size")).alias("weight")).alias("x"))
+    return written(weighed.groupBy("word").agg(F.sum("n").alias("all_n"), F.collect_list("x").alias("by")), "words")
+
+
+def text_scores(seen: DataFrame, model: DataFrame, total: int) -> DataFrame:
     """row, by: for each language the log likelihood of a page's words, less what is the same for all languages.
 
     A word's share of a language is smoothed by one occurrence dealt as the languages' sizes are:
     (n / size + 1 / total) / (all_n + 1); logs of 1 + n * total / size are left when common factors go.
     """
-    weighed = counts.join(F.broadcast(totals), "lang").select("word", "n", F.struct("lang", F.log1p(F.col("n") * float(total) / F.col("size")).alias("weight")).alias("x"))
-    model = written(weighed.groupBy("word").agg(F.sum("n").alias("all_n"), F.collect_list("x").alias("by")), "words")
     often = F.col("all_n") * HOT_WORDS >= total  # HOT_WORDS words at most
     hot, rest = F.broadcast(model.where(often).drop("all_n")), model.where(~often).drop("all_n")
     found = seen.join(hot, "word").unionByName(seen.join(F.broadcast(model.where(often).select("word")), "word", "left_anti").join(rest, "word"))
@@ -88,11 +102,13 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     rows = pages.select("page_id", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://([^/:?#]+)", 1)).alias("host"), F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://[^/]+/([a-zA-Z]{2})/", 1)).alias("path_lang"), F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z]{2})", 1)).alias("declared"), _words(visible(F.col("html"))).alias("words"))
     if not total:
         return rows.select("page_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"))
-    keyed = written(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
+    model = word_weights(counts, totals, total)
+    drop_written(counts)
     # a word that a page repeats counts by the root of its count
-    seen = keyed.select("row", F.explode("words").alias("word")).groupBy("row", "word").agg(F.sqrt(F.count("*")).alias("n"))
+    keyed = written(rows.withColumn("words", _counted(F.col("words"))).withColumn("row", F.monotonically_increasing_id()), "pages")
+    seen = keyed.select("row", F.explode("words").alias("w")).select("row", "w.word", "w.n")
     langs = F.array(*[F.lit(r["lang"]) for r in totals.select("lang").orderBy("lang").collect()])  # as many as there are languages
-    scored = keyed.drop("words").join(text_scores(seen, counts, totals, total), "row", "left")
+    scored = keyed.drop("words").join(text_scores(seen, model, total), "row", "left")
     scores = F.when(F.col("by").isNotNull(), F.transform(langs, lambda x: F.coalesce(F.try_element_at("by", x), F.lit(0.0)))).otherwise(F.transform(langs, lambda x: F.lit(0.0)))
     add = lambda a, x: a + x
     scored = scored.withColumn("langs", langs).withColumn("worded", F.col("by").isNotNull()).withColumn("scores", scores).drop("by")
@@ -106,6 +122,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
 
     scored = scored.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)).withColumn("suffix", F.regexp_extract("host", r"([^.]+)$", 1))
     scored = written(scored.withColumn("declared_ok", agreed("declared")).withColumn("path_ok", agreed("path_lang")), "text-scores")
+    drop_written(model, keyed)
     hosts = _levels(scored, langs)
     joined = scored.join(hosts, "host")
 
