@@ -67,10 +67,10 @@ def _measured(rows: DataFrame, text: str, lang: str | None, kept: list[str]) ->
     windows = F.when(F.size("hashes") >= 5, F.transform(F.slice("hashes", 1, F.greatest(F.size("hashes") - 4, F.lit(0))), lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2), F.get("hashes", i + 3), F.get("hashes", i + 4)))).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("windows", windows)
     same = F.size("windows") == F.size(F.array_distinct("windows"))
-    placed = F.when(same, F.lit(None)).otherwise(F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    placed = F.when(same, F.lit(None)).otherwise(F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     rows = rows.withColumn("placed", placed)
     again = F.filter("placed", lambda x, j: (x["h"] == F.get("placed", j - 1)["h"]) | (x["h"] == F.get("placed", j + 1)["h"]))
-    rows = rows.withColumn("starts", F.array_sort(F.transform(again, lambda x: x["i"])))
+    rows = rows.withColumn("starts", F.sort_array(F.transform(again, lambda x: x["i"])))
     # a start covers five words, or as many as there are to the next start
     covered = F.aggregate(F.transform("starts", lambda s, j: F.least(F.lit(5), F.coalesce(F.get("starts", j + 1) - s, F.lit(5)))), F.lit(0).cast("long"), lambda a, x: a + x)
     n_chars = F.length(F.array_join("words", ""))
