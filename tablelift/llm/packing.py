@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import batch, written
-from tablelift.llm.tokens import encoder
+from tablelift.llm.tokens import with_end
 
 #: Pieces in a block, on average.
 BLOCK = 4096
@@ -36,25 +36,21 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 
 
 def _cut(tokenizer: str, end_id: int, capacity: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
         for b in batches:
-            docs, pieces, starts, lengths, crcs = [], [], [], [], []
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                for doc, ids in zip(part["doc_id"].to_pylist(), encode(part["text"].to_pylist()), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
-                    for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        docs.append(doc)
-                        pieces.append(k)
-                        starts.append(s)
-                        lengths.append(e - s)
-                        crcs.append(zlib.crc32(ids[4 * s : 4 * e]))
-            yield batch(_PIECES, docs, pieces, starts, lengths, crcs)
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000)
+                ids, counts = with_end(tokenizer, part["text"], end_id)
+                n_pieces = -(-counts // capacity)
+                doc = np.repeat(np.arange(len(counts)), n_pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+                # the first piece takes what the full ones leave
+                short = (counts - 1) % capacity + 1
+                start = np.where(piece > 0, short[doc] + (piece - 1) * capacity, 0)
+                length = np.where(piece > 0, capacity, short[doc])
+                data, begin = ids.astype("<u4").tobytes(), 4 * ((np.cumsum(counts) - counts)[doc] + start)
+                crcs = [zlib.crc32(data[s:e]) for s, e in zip(begin.tolist(), (begin + 4 * length).tolist(), strict=True)]
+                yield batch(_PIECES, part["doc_id"].take(pa.array(doc)), piece.astype(np.int32), start, length, crcs)
 
     return run
 

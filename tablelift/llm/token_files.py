@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import batch
-from tablelift.llm.tokens import encoder
+from tablelift.llm.tokens import with_end
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -107,24 +107,28 @@ _SEGMENTS = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("shard_s
 
 
 def _segments(tokenizer: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, segment, start = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0, 0
+        shard, segment, start = TaskContext.get().partitionId(), 0, 0
         docs, sizes, held, count = [], [], [], 0
 
         def segment_row():
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held)
             return batch(_SEGMENTS, [shard], [segment], [start], [len(ids)], [docs], [sizes], [Levels.of(ids).to_bytes()])
 
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                for doc, ids in zip(part["doc_id"].to_pylist(), encode(part["text"].to_pylist()), strict=True):
-                    docs.append(doc)
-                    held.append(ids + end)
-                    sizes.append(len(ids) // 4 + 1)
-                    count += sizes[-1]
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                ids, counts = with_end(tokenizer, part["text"], end_id)
+                names, ends, first = part["doc_id"].to_pylist(), np.cumsum(counts), 0
+                while first < len(names):
+                    # documents up to the one that fills the segment
+                    before = int(ends[first - 1]) if first else 0
+                    stop = min(int(np.searchsorted(ends, before + SEGMENT_IDS - count)) + 1, len(names))
+                    docs += names[first:stop]
+                    sizes += counts[first:stop].tolist()
+                    held.append(ids[before : ends[stop - 1]])
+                    count += int(ends[stop - 1]) - before
+                    first = stop
                     if count >= SEGMENT_IDS:
                         yield segment_row()
                         segment, start = segment + 1, start + count

@@ -1,25 +1,80 @@
-"""Byte-level BPE ids of whole texts by the tokenizers library, with a bounded cache of words.
+"""Byte-level BPE ids of whole texts by the tokenizers library, with a bounded table of known chunks.
 
-The splitting pattern of byte-level BPE never lets a match run over a single space that stands
-between two non-space characters, and the space then belongs to the next match. So a text may be
-cut at such spaces and every part encoded alone; equal parts are encoded once per worker.
+The splitting pattern of byte-level BPE has no look-behind, and its matches end before white space, between a letter
+and a mark and between a mark and a letter (but for apostrophes). So a text may be cut before each run of white
+space, and between ASCII letters and marks, and every chunk encoded alone. Equal chunks are encoded once: the chunks
+of a slice of texts are found, hashed and looked up as arrays, and only new ones go to the library.
+
+A chunk is known by 96 bits of hashes, over at most LONGEST bytes; longer chunks are encoded each time. Texts that
+hold the string of a token of its own (such as that of the end of a text) go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+
+from tablelift.llm.common import text_bytes
+from tablelift.llm.shingles import groups, mix
 
-#: Words that a worker keeps encoded, in each of two generations.
-CACHE_WORDS = 300_000
+#: Chunks that a worker keeps, and bytes of a slice of texts.
+KNOWN, SLICE, LONGEST = 2_000_000, 1 << 20, 64
 #: Words that are encoded in one call, a line each.
 LINES = 64
-_SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+_random = np.random.default_rng(20240306)
+_BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE32 = _random.integers(0, 1 << 31, 256, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_BASE = 0x9E3779B97F4A7C15
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(9, 14), *range(0x1C, 0x20)]] = True
+#: Classes of ASCII characters: white space 1, letters 2, marks other than the apostrophe 3.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[0x20, *range(9, 14)]] = 1
+_CLASS[[c for c in range(128) if chr(c).isalpha()]] = 2
+_CLASS[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = 3
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _encoders: dict[str, Encoder] = {}
 
 
+class _Powers:
+    """Powers of a base and of its inverse, as many as were needed so far."""
+
+    def __init__(self, dtype, bits: int):
+        self.dtype, self.base, self.inverse = dtype, _BASE & ((1 << bits) - 1) | 1, pow(_BASE & ((1 << bits) - 1) | 1, -1, 1 << bits)
+        self.n, self.up, self.down = 0, np.zeros(0, dtype), np.zeros(0, dtype)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > self.n:
+            self.n = n
+            for name, base in (("up", self.base), ("down", self.inverse)):
+                out = np.full(n, base, self.dtype)
+                out[:1] = 1
+                setattr(self, name, np.multiply.accumulate(out, dtype=self.dtype))
+        return self.up, self.down
+
+
+_wide, _narrow = _Powers(np.uint64, 64), _Powers(np.uint32, 32)
+
+
+def _spaces(raw: np.ndarray) -> np.ndarray:
+    """Bytes that begin or end a white-space character; some that are near to one count too, which only costs a cut."""
+    out = _SPACE[raw]
+    lead = np.flatnonzero(_LEADS[raw])
+    if len(lead):
+        lead = lead[lead < len(raw) - 2]
+        a, b, c = raw[lead], raw[lead + 1], raw[lead + 2]
+        two = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+        three = ((a == 0xE1) & (((b == 0x9A) & (c == 0x80)) | ((b == 0xA0) & (c == 0x8E)))) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+        three |= (a == 0xE2) & (((b == 0x80) & ((c <= 0x8F) | ((c >= 0xA8) & (c <= 0xAF)))) | ((b == 0x81) & (c == 0x9F)))
+        out[lead[two | three]] = True
+        out[lead[two] + 1] = True
+        out[lead[three] + 2] = True
+    return out
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -27,93 +82,155 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         #: strings that the library takes out of a text as tokens of their own, before it splits the rest
-        self.own_tokens = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
-        #: a line break before a space is always a piece of its own; its id parts the words of one call
+        self.own_tokens = sorted({t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
+        #: a line break before one space or none is a piece of its own; its id parts the chunks of one call
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}  # words that begin a text
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, which has no white space at its edges, with a space before it."""
-        out: list[bytes | None] = [None] * len(words)
-        alone = [i for i, w in enumerate(words) if "\n" in w] if len(self.line_break) == 1 else list(range(len(words)))
-        hidden = set(alone)
-        lines = [i for i in range(len(words)) if i not in hidden]
-        groups = [lines[i : i + LINES] for i in range(0, len(lines), LINES)]
-        joined = ["\n".join([" " + words[i] for i in g]) for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            cuts = (np.flatnonzero(ids == self.line_break[0]) * 4).tolist()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        empty = (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        self.old, self.new = empty, empty  # hash, check, place in the pool, number of ids; by hash
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _alone(self, data: bytes, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> list[np.ndarray]:
+        """Ids of chunks of the data. Plain ones, which begin with one space or none, end with none and have no line
+        break, go in lines, many a call."""
+        chunks = [data[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        out: list[np.ndarray | None] = [None] * len(chunks)
+        inside = np.flatnonzero(plain).tolist() if len(self.line_break) == 1 else []
+        lines = [inside[i : i + LINES] for i in range(0, len(inside), LINES)]
+        left = set(range(len(chunks))).difference(inside)
+        joined = [b"\n".join([chunks[i] for i in g]).decode("utf-8", "replace") for g in lines]
+        for g, e in zip(lines, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.line_break[0])
             if len(cuts) != len(g) - 1:
-                alone += g
+                left.update(g)
                 continue
-            data = ids.tobytes()
-            for i, s, t in zip(g, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
-                out[i] = data[s:t]
-        for i, ids in zip(alone, self._ids([" " + words[i] for i in alone]), strict=True):
+            for i, s, t in zip(g, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                out[i] = ids[s:t]
+        rest = sorted(left)
+        for i, ids in zip(rest, self._library([chunks[i].decode("utf-8", "replace") for i in rest]), strict=True):
             out[i] = ids
         return out
 
-    def _fill(self, words: set[str]) -> None:
-        """Encode the words that neither generation has, each with the space before it.
-
-        A word that is empty or has white space at an edge marks a space that is no safe cut; it gets None.
-        """
-        words.difference_update(self.young)
-        missing = []
-        for w in words:
-            if w in self.old:
-                self.young[w] = self.old[w]
-            elif not w or w[0].isspace() or w[-1].isspace():
-                self.young[w] = None
-            else:
-                missing.append(w)
-        self.young.update(zip(missing, self._spaced(missing), strict=True))
-
-    def _heads(self, heads: list[str]) -> list[bytes]:
-        if len(self.first) > CACHE_WORDS // 8:
-            self.first = {}
-        new = list(set(heads) - self.first.keys())
-        self.first.update(zip(new, self._ids(new), strict=True))
-        return list(map(self.first.__getitem__, heads))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers; null is empty."""
-        out: list[bytes] = []
-        for i in range(0, len(texts), 256):
-            if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {}
-            # a text that holds such a string is encoded whole
-            whole = {j: t for j, t in enumerate(texts[i : i + 256]) if t and any(x in t for x in self.own_tokens)}
-            parts = [t.split(" ") if t and j not in whole else [""] for j, t in enumerate(texts[i : i + 256])]
-            heads = [p.pop(0) for p in parts]
-            self._fill(set().union(*parts))
-            get = self.young.__getitem__
-            for j, (text, ids, p, h) in enumerate(zip(texts[i : i + 256], self._heads(heads), parts, heads, strict=True)):
-                if j in whole:
-                    out += self._ids([text])
-                    continue
-                try:
-                    if h and h[-1].isspace():
-                        raise TypeError
-                    out.append(ids + b"".join(map(get, p)))
-                except TypeError:
-                    out.append(self._with_odd_spaces(text))
-        return out
-
-    def _with_odd_spaces(self, text: str) -> bytes:
-        head, *parts = _SAFE_CUT.split(text)
-        odd = parts.pop() if parts and parts[-1][-1].isspace() else None
-        self._fill(set(parts))
-        first, *last = self._ids([head] if odd is None else [head, " " + odd])
-        return first + b"".join(map(self.young.__getitem__, parts)) + b"".join(last)
+    def _store(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of ids in the pool."""
+        counts = np.array([len(p) for p in parts], np.int32)
+        total = int(counts.sum())
+        if self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(total, len(self.pool)), np.uint32)])
+        if total:
+            self.pool[self.used : self.used + total] = np.concatenate(parts)
+        places = self.used + np.cumsum(counts, dtype=np.int64) - counts
+        self.used += total
+        return places, counts
+
+    def _find(self, table, keys, checks, place, count) -> np.ndarray:
+        at = np.searchsorted(table[0], keys)
+        at[at == len(table[0])] = 0
+        known = (table[0][at] == keys) & (table[1][at] == checks) if len(table[0]) else np.zeros(len(keys), bool)
+        place[known], count[known] = table[2][at[known]], table[3][at[known]]
+        return known
+
+    def _add(self, rows) -> None:
+        def merged(a, b):
+            whole = [np.concatenate(c) for c in zip(a, b, strict=True)]
+            order = np.argsort(whole[0], kind="stable")
+            return tuple(c[order] for c in whole)
+
+        self.new = merged(self.new, rows)
+        if len(self.new[0]) > 4096 + len(self.old[0]) // 4:
+            self.old, self.new = merged(self.old, self.new), tuple(c[:0] for c in self.new)
+
+    def _slice(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.old[0]) + len(self.new[0]) > KNOWN or self.used > 8 * KNOWN:
+            self._forget()
+        data = b"\n".join(texts) + b"\n"
+        raw = np.frombuffer(data, np.uint8)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        text_end = np.cumsum(sizes + 1) - 1
+        text_start = text_end - sizes
+        space, kind = _spaces(raw), _CLASS[raw]
+        # the line breaks between texts are cuts too, but begin no chunk
+        cut = ((kind == 1) & ~np.concatenate([[True], space[:-1]])) | np.concatenate([[False], kind[1:] + kind[:-1] == 5]) & (kind > 1)
+        cut[text_end] = False
+        cut[text_start[sizes > 0]] = False
+        starts = np.sort(np.concatenate([text_start, np.flatnonzero(cut)]), kind="stable")
+        first = np.searchsorted(starts, text_start)
+        ends = np.append(starts[1:], text_end[-1])
+        ends[np.append(first[1:], len(starts)) - 1] = text_end
+        length = ends - starts
+        up, down = _wide.of(len(raw) + 1)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64, out=sums[1:])
+        keys = mix((sums[ends] - sums[starts]) * down[starts] + length.astype(np.uint64))
+        up, down = _narrow.of(len(raw) + 1)
+        sums32 = np.zeros(len(raw) + 1, np.uint32)
+        np.cumsum(_BYTE32[raw] * up[: len(raw)], dtype=np.uint32, out=sums32[1:])
+        checks = (sums32[ends] - sums32[starts]) * down[starts]
+        breaks = np.cumsum(raw == 0x0A)
+        plain = (length > 0) & ~space[ends - 1] & (breaks[ends - 1] == breaks[starts]) & (~space[starts] | ((raw[starts] == 0x20) & ~space[np.minimum(starts + 1, len(raw) - 1)]))
+
+        def alone(at):
+            return self._alone(data, starts[at], ends[at], plain[at])
+
+        # long chunks are not looked up
+        far = np.flatnonzero(length > LONGEST)
+        names, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        lone = np.concatenate([far, np.flatnonzero(checks != checks[index][inverse])])
+        place, count = np.empty(len(names), np.int64), np.empty(len(names), np.int32)
+        known = self._find(self.old, names, checks[index], place, count)
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            sub = [np.empty(len(missing), np.int64), np.empty(len(missing), np.int32)]
+            found = self._find(self.new, names[missing], checks[index[missing]], *sub)
+            place[missing], count[missing] = sub
+            missing = missing[~found]
+        missing = missing[length[index[missing]] <= LONGEST]
+        if len(missing):
+            at = index[missing]
+            place[missing], count[missing] = self._store(alone(at))
+            self._add((names[missing], checks[at], place[missing], count[missing]))
+        place, count = place[inverse], count[inverse].astype(np.int64)
+        pool = self.pool
+        if len(lone):
+            parts = alone(lone)
+            count[lone] = [len(p) for p in parts]
+            place[lone] = len(pool) + np.cumsum(count[lone]) - count[lone]
+            pool = np.concatenate([pool, *parts])
+        total = np.cumsum(count)
+        ids = pool[np.repeat(place - (total - count), count) + np.arange(total[-1])]
+        return ids, np.add.reduceat(count, first)
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and their number in each text."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for lo, hi in groups(texts, SLICE):
+            part = texts[lo:hi]
+            whole = [i for i, t in enumerate(part) if any(x in t for x in self.own_tokens)]
+            if whole:
+                for i in range(len(part)):
+                    x, n = (self._library([part[i].decode("utf-8", "replace")])[0], None) if i in whole else self._slice([part[i]])
+                    ids.append(x)
+                    counts.append(np.array([len(x)]) if n is None else n)
+                continue
+            x, n = self._slice(part)
+            ids.append(x)
+            counts.append(n)
+        return np.concatenate(ids), np.concatenate(counts)
 
 
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def with_end(path: str, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a column of texts (null is empty), the end id after each, and the number of ids of each text."""
+    ids, counts = encoder(path).encode(text_bytes(column))
+    return np.insert(ids, np.cumsum(counts), np.uint32(end_id)), counts + 1

@@ -509,3 +509,19 @@ def test_pipeline(spark, docs):
     got = corpus_pipeline.run(spark, SF).toPandas()
     assert got.groupby("doc_id").length.sum().to_dict() == want and len(rows) > len(kept) > 0 and len(good) > len(single) > 0
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "near_duplicates", "substring_dedup", "best_fit_packing"]
+
+
+def test_chunks_are_encoded_as_whole_texts():
+    """Odd white space, marks, contractions, special strings and long words, in slices of several texts."""
+    from tablelift.llm.tokens import Encoder
+
+    mine, library = Encoder(PATH), Tokenizer.from_file(PATH)
+    rng = np.random.default_rng(11)
+    odd = [*" " * 8, "  ", "\n", "\n\n", "\t", "\r\n", " ", "　", " ", "\u0085", "\x1f", "​", " ", "\x0b", "a", "the", "Word", "é", "中", "1", "23", *"!'(),-.:;?_/", "'s", "'LL", "'ve", "don't", "…", "’", "😀", "<|endoftext|>", "<|", "x" * 70, "ß"]
+    texts = ["".join(rng.choice(odd, int(rng.integers(0, 25)))) for _ in range(6000)] + ["".join(map(chr, rng.integers(1, 128, 30))) for _ in range(3000)] + ["", "", " ", "\n"]
+    for _ in range(2):
+        ids, counts = mine.encode([t.encode() for t in texts])
+        ends = np.cumsum(counts)
+        for t, s, e in zip(texts, ends - counts, ends, strict=True):
+            assert ids[s:e].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+        texts = texts[::-1]
