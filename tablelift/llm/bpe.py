@@ -7,7 +7,9 @@ changes the pair that starts there, the pair of its live left neighbour and the
 each change is a point update of logarithmic cost. Pieces of equal tree size are merged side by side,
 one merge of each at a time, as rows of an array; a long piece has its tree to itself.
 
-Pieces repeat, so a worker keeps the ids of those it has seen, in two generations of bounded size.
+Texts are cut to chunks where the usual pattern certainly ends a match, and chunks repeat: a worker keeps the ids of
+those it has seen in a table of bounded size (chunks.py). With another pattern every text is one chunk. Pieces of new
+chunks are kept too, up to CACHE_PIECES.
 
 Cases: null and empty texts have no ids; very long texts and pieces are encoded whole, in time that
 grows as n log n; repeated rows are encoded each; texts that hold the strings of special tokens are
@@ -26,12 +28,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces that a worker keeps encoded, in each of two generations.
-CACHE_PIECES = 250_000
+from tablelift.llm.chunks import PATTERN, Chunks
+from tablelift.llm.common import text_bytes
+
+#: Pieces that a worker keeps encoded.
+CACHE_PIECES = 100_000
 #: Tree size up to which pieces are merged side by side.
 SIDE_BY_SIDE = 64
 NONE = 1 << 30
-_SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -67,9 +71,13 @@ class Bpe:
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.pairs = Pairs(self.ranks)
         self.pattern = regex.compile(pattern)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.chunks = Chunks(self._new) if pattern == PATTERN else None
+        # the bytes of all tokens, for decoding
+        top = max(self.vocabulary) + 1
+        self.sizes = np.array([len(self.vocabulary.get(i, b"")) for i in range(top)], np.int64)
+        self.letters = np.frombuffer(b"".join(self.vocabulary.get(i, b"") for i in range(top)), np.uint8)
+        self.places = np.cumsum(self.sizes) - self.sizes
 
     def _tree(self, size: int, rows: list[bytes]) -> list[np.ndarray]:
         """Merge rows of at most `size` bytes, a power of two, side by side."""
@@ -182,44 +190,36 @@ class Bpe:
         """Ids of stretches of text that begin and end where pieces do."""
         split = [self.pattern.findall(w) for w in words]
         new = list({p for s in split for p in s} - self.pieces.keys())
-        if len(self.pieces) > CACHE_PIECES:
+        if len(self.pieces) + len(new) > CACHE_PIECES:
             self.pieces = {}
             new = list({p for s in split for p in s})
         self.pieces.update(zip(new, self.encode_pieces([p.encode() for p in new]), strict=True))
         return [b"".join(map(self.pieces.__getitem__, s)) for s in split]
 
+    def _new(self, data: bytes, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> list[np.ndarray]:
+        return [np.frombuffer(x, "<u4") for x in self._ids([data[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])]
+
+    def encode_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and their number in each text."""
+        if self.chunks:
+            return self.chunks.encode(texts)
+        found = self._ids([t.decode("utf-8", "replace") for t in texts])
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers.
-
-        No match of the pattern runs over a single space between two non-space characters, and the
-        space belongs to the next match: texts are cut there, and equal words are split and merged once.
-        """
-        if len(self.young) > CACHE_PIECES:
-            self.old, self.young = self.young, {}
-        cut = [t.split(" ") if t else [""] for t in texts]
-        heads = [c.pop(0) for c in cut]
-        odd = {w for w in set().union(*cut) if not w or w[0].isspace() or w[-1].isspace()}
-        whole: dict[int, list[str]] = {}
-        for i, (t, c, h) in enumerate(zip(texts, cut, heads, strict=True)):
-            if (h and h[-1].isspace()) or (odd and not odd.isdisjoint(c)):
-                head, *rest = _SAFE_CUT.split(t)
-                whole[i] = [head, *[" " + w for w in rest]]
-        words = set(heads)
-        for i, c in enumerate(cut):
-            if i not in whole:
-                words.update(" " + w for w in set(c))
-        for parts in whole.values():
-            words.update(parts)
-        missing = []
-        for w in words.difference(self.young):
-            known = self.old.get(w)
-            if known is None:
-                missing.append(w)
-            else:
-                self.young[w] = known
-        self.young.update(zip(missing, self._ids(missing), strict=True))
-        get = self.young.__getitem__
-        return [b"".join(map(get, whole[i])) if i in whole else get(h) + b"".join([get(" " + w) for w in c]) for i, (c, h) in enumerate(zip(cut, heads, strict=True))]
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, counts = self.encode_texts([(t or "").encode() for t in texts])
+        data, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(counts)
+        return [data[s:e] for s, e in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
+
+    def decode_texts(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all texts, and their number in each text."""
+        size = self.sizes[ids]
+        total = np.cumsum(size)
+        data = self.letters[np.repeat(self.places[ids] - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
+        ends = np.cumsum(counts)
+        upto = np.concatenate([[0], total])
+        return data.tobytes(), upto[ends] - upto[ends - counts]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -252,13 +252,15 @@ def _run(docs: DataFrame, path: str, pattern: str, digest: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                ids = bpe.encode(part["text"].to_pylist())
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                ids, counts = bpe.encode_texts(text_bytes(part["text"]))
+                decoded, sizes = bpe.decode_texts(ids, counts)
+                split = [(x[s:e] for s, e in zip((np.cumsum(n) - n).tolist(), np.cumsum(n).tolist(), strict=True)) for x, n in ((ids.astype("<u4").tobytes(), 4 * counts), (decoded, sizes))]
                 if digest:
-                    columns = [[len(x) // 4 for x in ids], [hashlib.sha256(x).hexdigest() for x in ids], [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]]
+                    columns = [counts, *[[hashlib.sha256(x).hexdigest() for x in texts] for texts in split]]
                 else:
-                    columns = [ids, [bpe.decode(x) for x in ids]]
+                    columns = list(map(list, split))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *[pa.array(c, schema.field(i + 1).type) for i, c in enumerate(columns)]], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
