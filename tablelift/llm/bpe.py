@@ -256,11 +256,11 @@ def _run(docs: DataFrame, path: str, pattern: str, digest: bool) -> DataFrame:
                 part = b.slice(lo, 1000)
                 ids, counts = bpe.encode_texts(text_bytes(part["text"]))
                 decoded, sizes = bpe.decode_texts(ids, counts)
-                split = [(x[s:e] for s, e in zip((np.cumsum(n) - n).tolist(), np.cumsum(n).tolist(), strict=True)) for x, n in ((ids.astype("<u4").tobytes(), 4 * counts), (decoded, sizes))]
+                split = [[x[s:e] for s, e in zip((np.cumsum(n) - n).tolist(), np.cumsum(n).tolist(), strict=True)] for x, n in ((ids.astype("<u4").tobytes(), 4 * counts), (decoded, sizes))]
                 if digest:
                     columns = [counts, *[[hashlib.sha256(x).hexdigest() for x in texts] for texts in split]]
                 else:
-                    columns = list(map(list, split))
+                    columns = split
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *[pa.array(c, schema.field(i + 1).type) for i, c in enumerate(columns)]], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
