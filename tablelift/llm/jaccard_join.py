@@ -38,7 +38,9 @@ BAND, GROUP = 1.25, 64
 #: Sets of less than SMALL shingles (by their band's upper end) are dealt to parts SALTS times.
 SMALL, SALTS = 64, 4
 #: Bits of a token beyond those of the number of documents, and ranges of tokens that are met one after the other.
-TOKEN_BITS, PASSES = 26, 3
+TOKEN_BITS, PASSES = 26, 4
+#: Names of classes that are tried, as they must differ.
+TRIES = 8
 #: Rows of a batch where a row holds sets or groups of signatures.
 LARGE_ROWS = 32
 #: Least bits of a signature; larger sets have a power of two above their size.
@@ -122,8 +124,10 @@ def _scan(k: int, num: int, den: int, bits: int):
                     seen.clear()
                 for doc, s in zip(docs[lo:hi], _sets(texts[lo:hi], k), strict=True):
                     h1, h2 = (int(np.bitwise_xor.reduce(mix(s + np.uint64(c)), initial=0).astype(np.int64)) for c in (1, 2))
-                    again = (len(s), h1, h2) in seen  # its tokens have been sent
-                    seen.add((len(s), h1, h2))
+                    # a row without a doc_id cannot stand for its class; a class's tokens are sent once by a task
+                    again = doc is None or (len(s), h1, h2) in seen
+                    if doc is not None:
+                        seen.add((len(s), h1, h2))
                     rows.append((doc, len(s), h1, h2, *((None, None) if again else ((_tokens(s, num, den) >> shift).view(np.int64), _signature(s)))))
                 if rows:
                     yield batch(_SETS, *zip(*rows, strict=True))
@@ -288,9 +292,9 @@ def _near(tokened: DataFrame) -> DataFrame:
     out = None
     for i in range(PASSES):
         mine = F.filter("tokens", lambda t: F.pmod(F.shiftrightunsigned(t, 7), F.lit(PASSES)) == i)
-        tokens = tokened.where("rep is not null").select("cls", F.explode(mine).alias("token"))
+        tokens = tokened.select("cls", F.explode(mine).alias("token"))
         shared = tokens.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("token", "least")
-        part = written(tokens.join(shared, "token"), f"near{i}")
+        part = written(tokens.join(shared, "token").distinct(), f"near{i}")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -314,13 +318,18 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     # tokens have as many bits as keeps chance meetings few, whatever the number of documents
     bits = min(64, TOKEN_BITS + rows.count().bit_length())
     scanned = written(rows.mapInArrow(_scan(k, num, den, bits), SETS), "scanned")
-    grouped = scanned.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("tokens", ignorenulls=True).alias("tokens"), F.first("sig", ignorenulls=True).alias("sig"))
-    tokened = written(grouped.withColumn("cls", F.monotonically_increasing_id()), "tokened")
+    grouped = scanned.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig", ignorenulls=True).alias("sig"))
+    for salt in range(TRIES):
+        name = F.xxhash64("n", "h1", "h2", F.lit(salt))
+        classes = written(grouped.withColumn("cls", name), "classes")
+        if not classes.groupBy("cls").count().where("count > 1").head(1):
+            break
+        drop_written(classes)
+    else:
+        raise RuntimeError(f"names of classes collided in each of {TRIES} attempts")
     sets = written(scanned.select("doc_id", "n", "h1", "h2"), "sets")
+    near = _near(scanned.where("tokens is not null").select(name.alias("cls"), "tokens"))
     drop_written(scanned)
-    near = _near(tokened)
-    classes = written(tokened.drop("tokens"), "classes")
-    drop_written(tokened)
 
     def shingles(wanted: DataFrame, name: str) -> DataFrame:
         """cls and shingles of the wanted classes, from their texts."""
