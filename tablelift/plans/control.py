@@ -212,6 +212,15 @@ def jdbc_pre_commands(spark, sf_dir):
     return spark.createDataFrame([(before, n, _code(lambda: source.frame(spark, ExportQuery.table("made"))))], "before long, n long, after long")
 
 
+def query_parameters(spark, sf_dir):
+    """A user query with parameter markers, exported."""
+    register(spark, sf_dir, TABLES)
+    folder = folder_for()
+    source = Session(parameters={"least": 20, "name": "F%"})
+    job.export(spark, Options(output=folder, sql="SELECT n_nationkey, n_name FROM nation WHERE n_nationkey >= :least OR n_name LIKE :name"), source)
+    return avro_rows(spark, folder, "n_nationkey int, n_name string")
+
+
 def split_types(spark, sf_dir):
     """Which columns can be split."""
     schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
@@ -267,7 +276,7 @@ def versions(spark, sf_dir):
     return spark.createDataFrame([(Options(output="/o").version == __version__, all(stamp in open(f, "rb").read(2000) for f in glob.glob(f"{folder}/*.avro")))], "option boolean, files boolean")
 
 
-OPERATORS = [parse_partitions, period_ends, partition_ages, option_checks, option_defaults, durations, codecs, sql_clean_up, sql_file_export, command_line_codes, side_files, query_files, schema_files, supplied_schemas, min_rows_export, export_metrics, replica_lateness, replica_exports, drivers, connection_options, jdbc_pre_commands, split_types, postgres_arrays, password_sources, job_names, time_limit, benchmark_runs, versions]
+OPERATORS = [parse_partitions, period_ends, partition_ages, option_checks, option_defaults, durations, codecs, sql_clean_up, sql_file_export, command_line_codes, side_files, query_files, schema_files, supplied_schemas, min_rows_export, export_metrics, replica_lateness, replica_exports, drivers, connection_options, jdbc_pre_commands, query_parameters, split_types, postgres_arrays, password_sources, job_names, time_limit, benchmark_runs, versions]
 
 
 def queries():
@@ -310,6 +319,7 @@ def oracle_sql():
         "drivers": _values("url, driver, code, catalog", "'jdbc:postgresql://h/db', 'org.postgresql.Driver', 0, 'db'", "'jdbc:mysql://h:3306/shop?a=1', 'com.mysql.cj.jdbc.Driver', 0, 'shop'", "'jdbc:mariadb://h/db', 'org.mariadb.jdbc.Driver', 0, 'db'", "'jdbc:h2:mem:test', 'org.h2.Driver', 0, 'test'", "'jdbc:oracle:thin:@h', NULL, 43, '@h'", "'postgresql://h/db', NULL, 43, 'db'").replace("SELECT *", "SELECT url, driver, CAST(code AS BIGINT) AS code, catalog"),
         "connection_options": _values("kind, name, value", *[f"'{k}', '{n}', '{v}'" for k in ("probe", "read") for n, v in (("driver", "com.mysql.cj.jdbc.Driver"), ("user", "app"), ("fetchsize", "500"))], "'read', 'sessionInitStatement', 'SET a = 1; SET b = 2'", "'read', 'allowMultiQueries', 'true'", "'log', 'url', 'jdbc:mysql://h/db?password=***'"),
         "jdbc_pre_commands": "SELECT CAST(45 AS BIGINT) AS before, count(*) AS n, CAST(0 AS BIGINT) AS after FROM region",
+        "query_parameters": "SELECT n_nationkey, n_name FROM nation WHERE n_nationkey >= 20 OR n_name LIKE 'F%'",
         "split_types": "SELECT column_name AS name, CAST(CASE WHEN data_type IN ('INTEGER', 'BIGINT') THEN 0 ELSE 43 END AS BIGINT) AS code FROM information_schema.columns WHERE table_name = 'lineitem'",
         "postgres_arrays": _values("name, items, logical, code", "'_uuid', '\"string\"', '{\"type\": \"string\", \"logicalType\": \"uuid\"}', 0", *[f"'{n}', '\"{k}\"', '\"{k}\"', 0" for n, k in (("_int", "int"), ("_int4", "int"), ("_int8", "long"), ("_varchar", "string"), ("_text", "string"))], "'_float8', NULL, NULL, 49", "'text', NULL, NULL, 49").replace("SELECT *", "SELECT name, items, logical, CAST(code AS BIGINT) AS code"),
         "password_sources": "SELECT * FROM (VALUES ('encrypted', 'abcdef'), ('file', 'in file ' || chr(10)), ('option', 'option'), ('none', NULL)) t(source, password)",

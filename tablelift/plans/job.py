@@ -32,6 +32,7 @@ __all__ = ["Options", "export", "replica_export", "bench", "job_name", "open_sou
 def open_source(spark: SparkSession, options: Options, decrypter: KmsDecrypter | None = None) -> Jdbc | Session:
     if options.connection_url is None:
         return Session()
+    log.info("connecting to %s as %s", redacted(options.connection_url), options.username)
     password = read_password(lambda p: read_text(spark, p), options.password_file_kms_encrypted, options.password_file, options.password, decrypter)
     return source_of(options.connection_url, username=options.username, password=password, fetch_size=options.fetch_size, commands=options.pre_command)
 

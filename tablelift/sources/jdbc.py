@@ -126,10 +126,13 @@ class Jdbc:
 
 @dataclass(frozen=True)
 class Session:
-    """Tables and views of the Spark session; with a folder, its <name>.parquet files as views first."""
+    """Tables and views of the Spark session; with a folder, its <name>.parquet files as views first.
+
+    `parameters` are values for the named markers (:name) of a user query."""
 
     folder: str | None = None
     catalog: str = "session"
+    parameters: dict | None = None
 
     @classmethod
     def of(cls, url: str) -> Session:
@@ -152,19 +155,19 @@ class Session:
     def frame(self, spark: SparkSession, query: ExportQuery) -> DataFrame:
         self.prepare(spark)
         try:
-            return spark.sql(ExportQuery(query.base).text())
+            return spark.sql(ExportQuery(query.base).text(), args=self.parameters)
         except PySparkException as e:  # what a database would call an error of the statement
             raise SourceError(str(e).split("\n", 1)[0]) from e
 
     def bounds_row(self, spark: SparkSession, query: ExportQuery, column: str):
-        return spark.sql(self.text(query.bounds(column))).head()
+        return spark.sql(self.text(query.bounds(column)), args=self.parameters).head()
 
     def first_row(self, spark: SparkSession, query: ExportQuery):
         return self.frame(spark, query).limit(1).head()
 
     def rows(self, spark: SparkSession, queries: list[ExportQuery]) -> DataFrame:
         """All splits as one DataFrame, without an exchange."""
-        return reduce(DataFrame.unionByName, [spark.sql(self.text(q)) for q in queries])
+        return reduce(DataFrame.unionByName, [spark.sql(self.text(q), args=self.parameters) for q in queries])
 
 
 def source_of(url: str, **settings) -> Jdbc | Session:

@@ -22,6 +22,8 @@ def tables():
 
 
 def plain(x):
+    if isinstance(x, float) and x == 0:
+        return 0.0  # without its sign
     if isinstance(x, datetime.datetime) and x.time() == datetime.time():
         return x.date()
     return None if isinstance(x, float) and math.isnan(x) else x
