@@ -35,12 +35,30 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Scratch folders that this process has named and not removed.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/tablelift-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    if not _scratch:
+        atexit.register(lambda: [_remove(spark, p) for p in _scratch])
+    _scratch.append(path)
     return path
 
 
+def scratch_folders() -> frozenset[str]:
+    return frozenset(_scratch)
+
+
+def drop_since(before: frozenset[str], *kept: DataFrame) -> None:
+    """Remove the scratch folders that are not among `before`, but for those of written() frames that are still read."""
+    held = before | {df._scratch for df in kept}
+    for path in [p for p in _scratch if p not in held]:
+        _remove(kept[0].sparkSession, path)
+        _scratch.remove(path)
+
+
 #: Bytes and rows of a batch that goes to Python, so that a worker holds little whatever the rows are.
 BATCH_BYTES, BATCH_ROWS = 16 << 20, 2000
 
@@ -76,6 +94,7 @@ def drop_written(*frames: DataFrame) -> None:
     """Remove the files of written(); only once nothing reads them any more."""
     for df in frames:
         _remove(df.sparkSession, df._scratch)
+        _scratch.remove(df._scratch)
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
