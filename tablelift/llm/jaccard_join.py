@@ -4,14 +4,15 @@ A document is the set of its distinct k-word shingles; equal sets are one class.
 by hash to parts, as many that two sets above the threshold must agree on a whole part: if J >= t they
 differ in at most (1 - t) / (1 + t) * (|A| + |B|) shingles, so more parts than that leave one untouched. A
 part's hash is a token of the class. The number of parts depends on a size band; a class has the tokens of its
-own band, and of the next one if a larger partner can be there.
+own band, and of the next one if a larger partner can be there. Classes meet by their tokens in PASSES ranges of
+tokens one after the other.
 
 Each class that shares tokens is first compared with one hub, the least class of most of its tokens. What
 hangs together then needs no further comparison, so that only tokens found in two components or more go on:
 a large group of near copies is one component and not a square of pairs. Their classes are
 partitioned into groups (of one size band and of one component where it is large, of the same least neighbour elsewhere, split to
 about GROUP). The token-group matrix has a row for each token and group; two groups are a candidate if they
-share a token; tokens with the same row count once. A class's signature is a bitmap of its shingles: a bit that only one set has stands for a
+share a token; tokens all of whose groups another token has too are left out. A class's signature is a bitmap of its shingles: a bit that only one set has stands for a
 shingle that the other lacks, which bounds the overlap from above. Only the classes of a pair of groups that
 can reach the threshold by it are opened, and compared by one product of incidence matrices.
 
