@@ -2,8 +2,8 @@
 
 A document is the set of its distinct k-word shingles; equal sets are one class. The shingles are dealt
 by hash to parts, as many that two sets above the threshold must agree on a whole part: if J >= t they
-differ in at most (1 - t) / (1 + t) * (|A| + |B|) shingles, so more parts than that leave one untouched. A
-part's hash is a token of the class. The number of parts depends on a size band; a class has the tokens of its
+differ in at most (1 - t) / (1 + t) * (|A| + |B|) shingles, so more parts than that leave some untouched. A
+part's hash is a token of the class; sets of which many parts are empty have the hashes of a prefix as well. The number of parts depends on a size band; a class has the tokens of its
 own band, and of the next one if a larger partner can be there. Classes meet by their tokens in PASSES ranges of
 tokens one after the other.
 
@@ -36,8 +36,8 @@ from tablelift.llm.shingles import groups, mix, sequences, word_hashes
 
 #: Ratio of the sizes in a band (more for thresholds under 0.8), and classes of a group.
 BAND, GROUP = 1.25, 64
-#: Sets of less than SMALL shingles (by their band's upper end) are dealt to parts SALTS times.
-SMALL, SALTS = 64, 4
+#: One part more for so many shingles that may differ.
+SPARE = 10
 #: Bits of a token beyond those of the number of documents, and ranges of tokens that are met one after the other.
 TOKEN_BITS, PASSES = 26, 4
 #: Names of classes that are tried, as they must differ.
@@ -66,22 +66,26 @@ def _sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
 def _tokens(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     """Part hashes of a set, for threshold num / den; empty parts have none.
 
-    With `differ` shingles of two sets unequal and differ + 1 parts, a part is equal. It is of use if it
-    is not empty: parts hold 6.8 shingles and more on average at 0.9 and 2.8 at 0.8, so that all parts but
-    empty ones differ with a chance that falls factorially with the size; small sets are dealt SALTS times.
+    With `differ` shingles of two sets unequal, all but `differ` parts are equal. If either set has so few empty parts
+    that more parts are equal than it has empty ones, an equal part has a token. A set with too many empty parts has
+    its prefix as well: of any order of shingles, two sets above the threshold share one of the first
+    n - ceil(t * n) + 1. Where the parts of both sets say nothing, both have their prefix, so that no link is missed.
     """
-    n, hashes, ratio = len(shingles), [], max(BAND, den / num)
+    n, hashes, ratio, sparse = len(shingles), [], max(BAND, den / num), False
     band = int(math.log(n, ratio) + 1e-9) if n else 0
     for b in (band, band + 1):
         if not n or (b > band and n * den < num * ratio**b * (1 - 1e-9)):
             continue
-        parts = int((den - num) * 2 * ratio ** (b + 1) * (1 + 1e-9) / (den + num)) + 1
-        for salt in range(SALTS if ratio ** (b + 1) <= SMALL else 1):
-            part = (mix(shingles + np.uint64(b + 1 + 1000 * salt)) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            starts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0]))
-            sums = np.add.reduceat(mix(shingles[order] ^ np.uint64(0xABCDEF)), starts)
-            hashes.append(mix(sums + part[order][starts].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b * 1_000_003 + salt)))
+        differ = int((den - num) * 2 * ratio ** (b + 1) * (1 + 1e-9) / (den + num))
+        parts = differ + 1 + -(-differ // SPARE)
+        part = (mix(shingles + np.uint64(b + 1)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0]))
+        sums = np.add.reduceat(mix(shingles[order] ^ np.uint64(0xABCDEF)), starts)
+        hashes.append(mix(sums + part[order][starts].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b * 1_000_003)))
+        sparse |= len(starts) <= differ
+    if sparse:
+        hashes.append(mix(shingles[: n - -(-num * n // den) + 1] ^ np.uint64(0x517CC1B727220A95)))
     return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
 
 

@@ -525,3 +525,20 @@ def test_chunks_are_encoded_as_whole_texts():
         for t, s, e in zip(texts, ends - counts, ends, strict=True):
             assert ids[s:e].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
         texts = texts[::-1]
+
+
+@pytest.mark.parametrize("k,num,den", [(3, 9, 10), (5, 8, 10), (2, 3, 4)])
+def test_no_link_is_missed(k, num, den):
+    """Two sets just above the threshold always share a token, whatever differs and however small they are."""
+    rng = np.random.default_rng(k)
+    tried = 0
+    for _ in range(6000):
+        common = int(rng.integers(1, 90))
+        most = common * den // num - common
+        a = int(rng.integers(0, most + 1))
+        x, y, z = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (common, a, most - a))
+        one, other = np.unique(np.concatenate([x, y])), np.unique(np.concatenate([x, z]))
+        assert den * len(np.intersect1d(one, other)) >= num * len(np.union1d(one, other))
+        tried += 1
+        assert len(np.intersect1d(jaccard_join._tokens(one, num, den), jaccard_join._tokens(other, num, den))), (len(one), len(other))
+    assert tried == 6000
