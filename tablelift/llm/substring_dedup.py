@@ -187,7 +187,10 @@ def _met(rows: DataFrame, window: int, salt: int, part: int) -> DataFrame:
 
 def _pieces(found: DataFrame) -> DataFrame:
     """Repeated paths and edges with their source: doc, tag, at, n, x, x_tag, x_at."""
-    single = found.where(F.col("kind") == OPEN).withColumn("first", F.min(F.struct("doc", "tag", "at")).over(Window.partitionBy("x", "edge"))).where(F.col("first.doc") < F.col("doc"))
+    # an edge that many documents have is aggregated before it is shuffled, and a join may split it
+    opened = found.where(F.col("kind") == OPEN)
+    first = opened.groupBy("x", "edge").agg(F.min(F.struct("doc", "tag", "at")).alias("first"), F.max("doc").alias("last")).where(F.col("first.doc") < F.col("last"))
+    single = opened.join(first, ["x", "edge"]).where(F.col("first.doc") < F.col("doc"))
     names = ["doc", "tag", "at", "n", "x", "x_tag", "x_at"]
     edges = single.select("doc", "tag", "at", "n", F.col("first.doc").alias("x"), F.col("first.tag").alias("x_tag"), F.col("first.at").alias("x_at"))
     return found.where(F.col("kind") == SETTLED).select(*names).unionByName(edges.select(*names)).distinct()
