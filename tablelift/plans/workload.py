@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -232,6 +233,7 @@ def derby(spark, sf_dir, table, rows):
     """A table of an embedded database in memory. It stands for a real one where none can be reached: the
     driver loads it, and in local mode the tasks see it too."""
     add_driver("derby", "org.apache.derby.iapi.jdbc.AutoloadedDriver", "FETCH FIRST {n} ROWS ONLY")
+    spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
     url = f"jdbc:derby:memory:tablelift{uuid.uuid4().hex};create=true"
     rows = rows.toDF(*[c.upper() for c in rows.columns])
     rows.coalesce(1).write.format("jdbc").option("url", url).option("driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver").option("dbtable", table).option("batchsize", 5000).mode("append").save()
