@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm.chunks import PATTERN, Chunks
-from tablelift.llm.common import text_bytes
+from tablelift.llm.common import text_bytes, trimmed
 
 #: Pieces that a worker keeps encoded.
 CACHE_PIECES = 100_000
@@ -264,4 +264,4 @@ def _run(docs: DataFrame, path: str, pattern: str, digest: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *[pa.array(c, schema.field(i + 1).type) for i, c in enumerate(columns)]], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{n} {k}" for n, _, k in kinds))
+    return rows.mapInArrow(trimmed(run), ", ".join(f"{n} {k}" for n, _, k in kinds))

@@ -18,7 +18,7 @@ from tablelift.llm.shingles import groups, mix
 #: Fixed value: the splitting pattern for which the cuts hold.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Chunks that a worker keeps, and bytes of a slice of texts.
-KNOWN, SLICE, LONGEST = 2_000_000, 1 << 20, 64
+KNOWN, SLICE, LONGEST = 1_000_000, 1 << 20, 64
 _random = np.random.default_rng(20240306)
 _BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE32 = _random.integers(0, 1 << 31, 256, dtype=np.uint32) * np.uint32(2) + np.uint32(1)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import batch, drop_written, text_bytes, written
+from tablelift.llm.common import batch, drop_written, text_bytes, trimmed, written
 from tablelift.llm.shingles import groups, mix, sequences, word_hashes
 
 #: Ratio of the sizes in a band (more for thresholds under 0.8), and classes of a group.
@@ -322,7 +322,7 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # tokens have as many bits as keeps chance meetings few, whatever the number of documents
     bits = min(64, TOKEN_BITS + rows.count().bit_length())
-    scanned = written(rows.mapInArrow(_scan(k, num, den, bits), SETS), "scanned")
+    scanned = written(rows.mapInArrow(trimmed(_scan(k, num, den, bits)), SETS), "scanned")
     grouped = scanned.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig", ignorenulls=True).alias("sig"))
     for salt in range(TRIES):
         name = F.xxhash64("n", "h1", "h2", F.lit(salt))
@@ -342,18 +342,18 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
         texts = rows.join(chosen, rows["doc_id"] == chosen["rep"]).select("rep", "cls", "n", "h1", "text")
         # rows with one doc_id and one text are one; they are in one partition already
         one = texts.withColumn("hash", F.xxhash64("text")).groupBy("rep", "cls", "n", "h1", "hash").agg(F.first("text").alias("text"))
-        return written(one.select("cls", "n", "h1", "text").mapInArrow(_again(k), "cls long, shingles binary"), name)
+        return written(one.select("cls", "n", "h1", "text").mapInArrow(trimmed(_again(k)), "cls long, shingles binary"), name)
 
     # each class and its hub
     hubs = near.where("cls <> least").groupBy("cls", "least").count().groupBy("cls").agg(F.max_by("least", F.struct("count", -F.col("least"))).alias("hub"))
     ends = hubs.select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     for end in "ab":
         ends = ends.join(classes.select(F.col("cls").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")), end)
-    stars = written(ends.mapInArrow(_near_hub(num, den), EDGES), "stars")
+    stars = written(ends.mapInArrow(trimmed(_near_hub(num, den)), EDGES), "stars")
     texts = shingles(stars.select(F.explode(F.array("a", "b")).alias("cls")), "star-sets")
     for end in "ab":
         stars = stars.join(texts.select(F.col("cls").alias(end), F.col("shingles").alias(f"set_{end}")), end)
-    stars = written(stars.mapInArrow(_linked(num, den), EDGES), "star-links", LARGE_ROWS)
+    stars = written(stars.mapInArrow(trimmed(_linked(num, den)), EDGES), "star-links", LARGE_ROWS)
     drop_written(texts)
     comps = components(stars).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
 
@@ -382,10 +382,10 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     pairs = matrix.join(matrix.select("token", F.col("grp").alias("other"), F.col("pure").alias("kind")), "token").where(apart).select("grp", "other").distinct()
     own = packed.where("pure is null").select("grp", F.col("grp").alias("other"), F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
     cross = pairs.join(packed.select("grp", F.col("items").alias("left")), "grp").join(packed.select(F.col("grp").alias("other"), F.col("items").alias("right")), "other").select("grp", "other", "left", "right")
-    met = written(own.unionByName(cross).mapInArrow(_meet(num, den), MET), "met", LARGE_ROWS)
+    met = written(own.unionByName(cross).mapInArrow(trimmed(_meet(num, den)), MET), "met", LARGE_ROWS)
     texts = shingles(met, "met-sets")
     opened = met.join(texts, "cls").groupBy("grp", "other").agg(F.collect_list(F.struct("side", "cls", "comp", "shingles")).alias("items")).select("items")
-    edges = written(opened.mapInArrow(_open(num, den), EDGES), "links", LARGE_ROWS).unionByName(stars)
+    edges = written(opened.mapInArrow(trimmed(_open(num, den)), EDGES), "links", LARGE_ROWS).unionByName(stars)
     linked = components(edges)
     home = classes.join(linked, classes["cls"] == linked["node"], "left").select("n", "h1", "h2", "rep", F.coalesce("label", "cls").alias("label"))
     least = home.groupBy("label").agg(F.min("rep").alias("component_id"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import batch, written
+from tablelift.llm.common import batch, trimmed, written
 from tablelift.llm.tokens import with_end
 
 #: Pieces in a block, on average.
@@ -58,7 +58,7 @@ def _cut(tokenizer: str, end_id: int, capacity: int):
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids and the end id, cut from the end."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_cut(tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(trimmed(_cut(tokenizer, end_id, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 class Block:
@@ -232,12 +232,12 @@ def _packed(items: DataFrame, capacity: int, level: int) -> DataFrame:
     for epoch in range(EPOCHS):
         # small rows that stand for much work: as many partitions as there are islands, within reason
         spread = islands.repartition(min(blocks * ISLANDS, 2000), "block", "island")
-        islands = written(spread.mapInArrow(_epoch(capacity, epoch), ISLAND_ROWS), f"islands{epoch}")
+        islands = written(spread.mapInArrow(trimmed(_epoch(capacity, epoch)), ISLAND_ROWS), f"islands{epoch}")
         if epoch < EPOCHS - 1:
             guests = islands.select("block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.slice("packings", 1, ELITES).alias("guests"))
             islands = islands.join(guests, ["block", "island"]).select("block", "island", "uids", "lengths", F.concat("packings", "guests").alias("packings"), "sequences")
     best = islands.groupBy("block").agg(F.min_by(F.struct("uids", "lengths", F.col("packings")[0].alias("packing")), F.struct("sequences", "island")).alias("best")).select("block", "best.*")
-    return written(best.mapInArrow(_places(level), "uid long, sequence_id long, offset long, filled long, length int"), f"packed{level}")
+    return written(best.mapInArrow(trimmed(_places(level)), "uid long, sequence_id long, offset long, filled long, length int"), f"packed{level}")
 
 
 def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm.calibration import Logistic
-from tablelift.llm.common import text_bytes
+from tablelift.llm.common import text_bytes, trimmed
 from tablelift.llm.labelled import sample
 
 PER_CLASS = 3000
@@ -107,7 +107,7 @@ def scores(docs: DataFrame, model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(model.score(text_bytes(b["text"])), pa.float64())], schema=_SCORED)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, scored double").withColumnRenamed("scored", "score")
+    return rows.mapInArrow(trimmed(run), "doc_id long, scored double").withColumnRenamed("scored", "score")
 
 
 def keep_scored(docs: DataFrame, model, least: float) -> DataFrame:
@@ -121,4 +121,4 @@ def keep_scored(docs: DataFrame, model, least: float) -> DataFrame:
 
     numbered = docs.toDF(*[f"c{i}" for i in range(len(places))])
     whole = numbered.withColumn("whole_text", F.col(f"c{places.index('text')}").cast("string"))
-    return whole.mapInArrow(run, numbered.schema).toDF(*places)
+    return whole.mapInArrow(trimmed(run), numbered.schema).toDF(*places)

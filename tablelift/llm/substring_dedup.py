@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablelift.llm.common import batch, drop_written, numbered, text_bytes, written
+from tablelift.llm.common import batch, drop_written, numbered, text_bytes, trimmed, written
 from tablelift.llm.shingles import groups, mix, sequences, word_hashes
 
 KMER, EDGE_BYTES = 7, 5
@@ -167,7 +167,7 @@ def _paths(window: int, salt: int, part: int):
 
 def _met(rows: DataFrame, window: int, salt: int, part: int) -> DataFrame:
     """Paths that are repeated whole (kind SETTLED: x, x_tag, x_at are the source), and opened edges (OPEN: x is the k-mer)."""
-    paths = rows.mapInArrow(_paths(window, salt, part), PATHS).repartition("kmer")
+    paths = rows.mapInArrow(trimmed(_paths(window, salt, part)), PATHS).repartition("kmer")
     equal, shared = Window.partitionBy("kmer", "edges"), Window.partitionBy("kmer")
     seen = paths.withColumn("first", F.min(F.struct("doc", "tag", "at")).over(equal))
     seen = seen.withColumn("branch", (F.min("edges").over(shared) != F.max("edges").over(shared)) & (F.min("doc").over(shared) != F.max("doc").over(shared)))
@@ -273,7 +273,7 @@ def removed(docs: DataFrame, window: int = 13, layout: bool = False) -> DataFram
         wanted = own.unionByName(asked).groupBy("doc", "tag").agg(F.collect_list("s").alias("spans"))
         joined = keyed.join(wanted, ["doc", "tag"], "left").select(*rows.columns, "spans")
         schema = StructType([*rows.schema.fields, *StructType.fromDDL(f"n_words long, n_removed long, digests {DIGESTS}").fields])
-        out = written(joined.mapInArrow(_cut(window, text_at, len(rows.columns), layout), schema), "cut")
+        out = written(joined.mapInArrow(trimmed(_cut(window, text_at, len(rows.columns), layout)), schema), "cut")
         drop_written(spans)
         ends = out.select(F.explode("digests").alias("d")).groupBy("d.doc", "d.tag", "d.at", "d.n").agg(F.min("d.digest").alias("low"), F.max("d.digest").alias("high"))
         if ends.where("low <> high").head(1) == []:

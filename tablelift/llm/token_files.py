@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import batch
+from tablelift.llm.common import batch, trimmed
 from tablelift.llm.tokens import with_end
 
 CHUNK_BITS = 8
@@ -145,7 +145,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranges = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     ordered = ranges.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    segments = ordered.mapInArrow(_segments(tokenizer, end_id), SEGMENTS)
+    segments = ordered.mapInArrow(trimmed(_segments(tokenizer, end_id)), SEGMENTS)
     # small row groups, so that one token is read without the codes of other segments
     segments.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
@@ -186,7 +186,7 @@ def read_token_file(spark: SparkSession, path: str, digest: bool = False) -> Dat
     or, with digest, ids_crc32."""
     files = spark.read.schema(SEGMENTS).parquet(path)
     kind = "shard int, place long, doc_id long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")
-    docs = files.select("shard", "shard_start", "doc_ids", "doc_sizes", "codes").mapInArrow(_decoded(digest), kind)
+    docs = files.select("shard", "shard_start", "doc_ids", "doc_sizes", "codes").mapInArrow(trimmed(_decoded(digest)), kind)
     # one row for each of the file's shards, of which there are as many as write_token_file() had partitions
     joined = docs.join(F.broadcast(_starts(files)), "shard")
     return joined.select("doc_id", (F.col("shard_base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32" if digest else "ids")

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import batch, drop_written, written
+from tablelift.llm.common import batch, drop_written, trimmed, written
 
 PIVOTS, CELL_ROWS, BLOCK_ROWS, QUERY_ROWS, STEP = 1024, 512, 2048, 128, 8
 #: Most annuli of a pivot.
@@ -122,7 +122,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
             yield batch(_KEYED, b["uid"], b["vec_id"], b["vector"], near.astype(np.int32), d[np.arange(len(d)), near])
 
     numbered = base.withColumn("uid", F.monotonically_increasing_id()).select("uid", "vec_id", "vector")
-    keyed = written(numbered.mapInArrow(key, KEYED), "keyed")
+    keyed = written(numbered.mapInArrow(trimmed(key), KEYED), "keyed")
     # a row of ANNULI numbers for each pivot
     edges = F.percentile_approx("distance", [i / ANNULI for i in range(1, ANNULI)], 1000)
     cuts: dict[int, list[float]] = {}
@@ -140,7 +140,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
                 cell[mine] = first_cell[p] + np.searchsorted(cuts[p], distance[mine], side="left")
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], names=[*b.schema.names, "cell"])
 
-    placed = written(keyed.mapInArrow(place, KEYED + ", cell int"), "placed")
+    placed = written(keyed.mapInArrow(trimmed(place), KEYED + ", cell int"), "placed")
     drop_written(keyed)
     # PIVOTS * ANNULI rows at most, on the driver and broadcast
     sizes = placed.groupBy("cell").agg(F.min("pivot").alias("pivot"), F.count("*").alias("n"), F.min("distance").alias("a"), F.max("distance").alias("b"))
@@ -159,7 +159,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
             counts["opened"] = counts.get("opened", 0) + rows.count()
         n = rows.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("parts"))
         groups = rows.join(n, "cell").withColumn("part", F.pmod(F.xxhash64("uid"), "parts")).groupBy("cell", "part").agg(F.collect_list(F.struct("uid", "vector")).alias("q")).select("cell", F.col("q.uid").alias("query_uids"), F.col("q.vector").alias("queries"))
-        return groups.join(blocks, "cell").select("uids", "ids", "vectors", "query_uids", "queries").mapInArrow(_open(k, width), FOUND)
+        return groups.join(blocks, "cell").select("uids", "ids", "vectors", "query_uids", "queries").mapInArrow(trimmed(_open(k, width)), FOUND)
 
     def bounded(skip: int, stop: int | None):
         """The annuli from the skip-th to the stop-th in the order of their bounds, without the own one, that are within the bound."""
@@ -189,7 +189,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
 
     best = written(_best(scored(queries.select("uid", "vector", F.array("cell").alias("cells"))), k), "best")
     for skip, stop in ((0, STEP), (STEP, None)):
-        found = scored(known(best).mapInArrow(bounded(skip, stop), "uid long, vector array<bigint>, cells array<int>"))
+        found = scored(known(best).mapInArrow(trimmed(bounded(skip, stop)), "uid long, vector array<bigint>, cells array<int>"))
         best = written(_best(found.unionByName(rows_of(best)), k), "best")
     if counts is not None:
         counts |= {"cells": len(cells), "queries": queries.count()}
