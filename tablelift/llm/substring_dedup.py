@@ -7,9 +7,9 @@ ranges of k-mers one after the other. A path that a smaller document has too is
 only paths that share a k-mer but differ, a branch, are opened to their edges, which meet one by one.
 Every repeated path knows its source: a smaller document and the place there.
 
-Repeated paths that follow one another in a document and in their source make one long span: paths with
-no path before them (an anti-join on their ends) are heads, ends with no path after them are tails, and the
-i-th head of a document and source joins the i-th tail. The spans are verified at their source coordinates:
+Repeated paths that follow one another in a document and in their source make one long span: their starts are joined
+with their ends, where no path is open before is a head, where none is open after a tail, and the i-th head of a
+document and source joins the i-th tail. The spans are verified at their source coordinates:
 the texts are read again, and a 128-bit digest of the words of the span must be equal at both ends.
 If one differs, hashes have collided, and all is done again with other hashes.
 
@@ -193,18 +193,22 @@ def _pieces(found: DataFrame) -> DataFrame:
     single = opened.join(first, ["x", "edge"]).where(F.col("first.doc") < F.col("doc"))
     names = ["doc", "tag", "at", "n", "x", "x_tag", "x_at"]
     edges = single.select("doc", "tag", "at", "n", F.col("first.doc").alias("x"), F.col("first.tag").alias("x_tag"), F.col("first.at").alias("x_at"))
-    return found.where(F.col("kind") == SETTLED).select(*names).unionByName(edges.select(*names)).distinct()
+    return found.where(F.col("kind") == SETTLED).select(*names).unionByName(edges.select(*names))
 
 
 def _spans(pieces: DataFrame) -> DataFrame:
     """Paths that follow one another in a document and in their source, compacted by joins: doc, tag, at, n, x, x_tag, x_at."""
     key = ["doc", "tag", "x", "x_tag", "shift"]
     pieces = pieces.withColumn("shift", F.col("x_at") - F.col("at"))
-    starts = pieces.select(*key, "at")
-    ends = pieces.select(*key, (F.col("at") + F.col("n")).alias("at"))
-    heads, tails = starts.join(ends, [*key, "at"], "left_anti"), ends.join(starts, [*key, "at"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("at"))  # as many rows as a text has paths
-    joined = heads.withColumn("rank", rank).join(tails.withColumnRenamed("at", "stop").withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy("stop"))), [*key, "rank"])
+    starts = pieces.groupBy(*key, "at").agg(F.count("*").alias("starts"))
+    ends = pieces.groupBy(*key, (F.col("at") + F.col("n")).alias("at")).agg(F.count("*").alias("ends"))
+    # where as many paths end as start, a span goes on; repeated rows bring paths that overlap
+    net = (F.coalesce("starts", F.lit(0)) - F.coalesce("ends", F.lit(0))).alias("net")
+    edges = written(starts.join(ends, [*key, "at"], "full_outer").select(*key, "at", net).where("net <> 0"), "ends")
+    open_ = F.sum("net").over(Window.partitionBy(*key).orderBy("at"))  # as many rows as a text has paths
+    marked = edges.withColumn("after", open_).where((F.col("after") == 0) | (F.col("after") == F.col("net"))).withColumn("head", F.col("after") > 0)
+    ranked = marked.withColumn("rank", F.row_number().over(Window.partitionBy(*key, "head").orderBy("at"))).drop("net", "after")
+    joined = ranked.where("head").drop("head").join(ranked.where("not head").drop("head").withColumnRenamed("at", "stop"), [*key, "rank"])
     return joined.select("doc", "tag", "at", (F.col("stop") - F.col("at")).alias("n"), "x", "x_tag", (F.col("at") + F.col("shift")).alias("x_at"))
 
 

@@ -138,6 +138,7 @@ def test_op4_hot_kmers(spark, monkeypatch):
     for d in range(120):
         w = [f"w{x}" for x in rng.integers(0, 40, 30)]
         rows.append((d % 110, " ".join([*w[:9], *phrase, *w[9:15], *passage[: 10 + d % 7], *w[15:], *phrase, *w[:9], *(w[:20] if d % 3 else [])])))
+    rows += rows[5:70:2]  # the same rows again, in other slices
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     for size in (1 << 9, 1 << 22):  # slices of a few texts, and of all
         monkeypatch.setattr(substring_dedup, "groups", lambda texts, most, size=size: __import__("tablelift.llm.shingles", fromlist=["groups"]).groups(texts, size))
@@ -542,3 +543,21 @@ def test_no_link_is_missed(k, num, den):
         tried += 1
         assert len(np.intersect1d(jaccard_join._tokens(one, num, den), jaccard_join._tokens(other, num, den))), (len(one), len(other))
     assert tried == 6000
+
+
+def test_spans_of_overlapping_paths(spark):
+    """Paths of repeated rows overlap in many ways; spans are what they cover together."""
+    rng = np.random.default_rng(6)
+    rows, want = [], set()
+    for doc in range(60):
+        for shift in (3, -1):
+            cover = np.zeros(80, int)
+            for _ in range(int(rng.integers(1, 9))):
+                at, n = int(rng.integers(1, 60)), int(rng.integers(1, 12))
+                rows += [(doc, 1, at, n, 5, 7, at + shift)] * int(rng.integers(1, 3))
+                cover[at : at + n] = 1
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], cover, [0]])))
+            # paths that only touch are one span too
+            want |= {(doc, 1, int(s), int(e - s), 5, 7, int(s) + shift) for s, e in zip(edge[0::2], edge[1::2], strict=True)}
+    table = spark.createDataFrame(rows, "doc long, tag long, at int, n int, x long, x_tag long, x_at int")
+    assert {tuple(r) for r in substring_dedup._spans(table).select("doc", "tag", "at", "n", "x", "x_tag", "x_at").collect()} == want
