@@ -21,10 +21,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+_held = [np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> np.ndarray:
+    """The powers of the base up to the n-th and some more, kept for the next slice."""
+    if len(_held[0]) <= n:
+        out = np.full(n + 1, _BASE, np.uint64)
+        out[:1] = 1
+        _held[0] = np.multiply.accumulate(out)
+    return _held[0]
 
 
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -35,8 +41,12 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
     space = _SPACE[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * _powers(_BASE, len(raw)), dtype=np.uint64)])
-    hashes = mix((sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw))[starts] + (ends - starts).astype(np.uint64))
+    powers = _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * powers[: len(raw)], dtype=np.uint64, out=sums[1:])
+    # a word's sum is brought to the same power wherever it stands: up to the n-th, and back by a constant
+    back = np.uint64(pow(_INVERSE, len(raw), 1 << 64))
+    hashes = mix((sums[ends] - sums[starts]) * powers[len(raw) - starts] * back + (ends - starts).astype(np.uint64))
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     cuts = np.searchsorted(starts, np.cumsum(sizes))
     return hashes, np.diff(np.concatenate([[0], cuts]))
