@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +40,17 @@ BAND, GROUP = 1.25, 64
 #: One part more for so many shingles that may differ.
 SPARE = 10
 #: Bits of a token beyond those of the number of documents, and ranges of tokens that are met one after the other.
-TOKEN_BITS, PASSES = 26, 4
+TOKEN_BITS, PASSES = 26, 12
 #: Names of classes that are tried, as they must differ.
 TRIES = 8
 #: Rows of a batch where a row holds sets or groups of signatures.
 LARGE_ROWS = 32
 #: Least bits of a signature; larger sets have a power of two above their size.
 BITS = 1024
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sig", pa.binary())])
-SETS = "doc_id long, n long, h1 long, h2 long, tokens array<bigint>, sig binary"
+#: Each range of tokens has a column, so that it is read alone.
+RANGES = [f"tokens{i}" for i in range(PASSES)]
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.binary()), *((c, pa.list_(pa.int64())) for c in RANGES)])
+SETS = "doc_id long, n long, h1 long, h2 long, sig binary, " + ", ".join(f"{c} array<bigint>" for c in RANGES)
 
 
 def _sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -89,6 +92,12 @@ def _tokens(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
 
 
+def _ranges(tokens: np.ndarray) -> list[np.ndarray]:
+    """The tokens of each range, every one in one of them."""
+    at = (tokens >> np.uint64(7)) % np.uint64(PASSES)
+    return [tokens[at == i].view(np.int64) for i in range(PASSES)]
+
+
 def _signature(shingles: np.ndarray) -> bytes:
     bits = BITS
     while bits < len(shingles):
@@ -133,7 +142,7 @@ def _scan(k: int, num: int, den: int, bits: int):
                     again = doc is None or (len(s), h1, h2) in seen
                     if doc is not None:
                         seen.add((len(s), h1, h2))
-                    rows.append((doc, len(s), h1, h2, *((None, None) if again else ((_tokens(s, num, den) >> shift).view(np.int64), _signature(s)))))
+                    rows.append((doc, len(s), h1, h2, *([None] * (1 + PASSES) if again else (_signature(s), *_ranges(_tokens(s, num, den) >> shift)))))
                 if rows:
                     yield batch(_SETS, *zip(*rows, strict=True))
 
@@ -291,30 +300,30 @@ def components(edges: DataFrame) -> DataFrame:
         labels, held = new.select("node", "label"), new
 
 
-def _near(tokened: DataFrame) -> DataFrame:
+def _near(tokened: DataFrame) -> list[DataFrame]:
     """cls, token, least (of the token's classes) for tokens of two classes or more; PASSES ranges of hashes
-    one after the other, so that the shuffles of one are gone when the next begins."""
-    out = None
-    for i in range(PASSES):
-        mine = F.filter("tokens", lambda t: F.pmod(F.shiftrightunsigned(t, 7), F.lit(PASSES)) == i)
-        tokens = tokened.select("cls", F.explode(mine).alias("token"))
+    one after the other, so that the shuffles of one are gone when the next begins. A table for each range."""
+    out = []
+    for i, c in enumerate(RANGES):
+        tokens = tokened.select("cls", F.explode(c).alias("token"))
         shared = tokens.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("token", "least")
-        part = written(tokens.join(shared, "token").distinct(), f"near{i}")
-        out = part if out is None else out.unionByName(part)
+        out.append(written(tokens.join(shared, "token").distinct(), f"near{i}"))
     return out
 
 
 def _widest(matrix: DataFrame) -> DataFrame:
     """The matrix (token, grp, pure, wide: the token's number of groups) without tokens all of whose groups another
     token has too: they say nothing more of which groups meet. A token is held against one other, the widest one
-    of its least or of its largest group, so that this takes as many rows as the matrix has."""
+    of its least or of its largest group, so that this takes as many rows as the matrix has. The table given goes."""
     for end in (F.min, F.max):
         top = matrix.groupBy("grp").agg(F.max_by("token", F.struct("wide", "token")).alias("top"))
         own = matrix.groupBy("token").agg(end("grp").alias("grp"), F.first("wide").alias("wide")).join(top, "grp").where("token <> top").select("token", "top", "wide")
         held = matrix.select("token", "grp").join(own, "token").join(matrix.select(F.col("token").alias("top"), "grp"), ["top", "grp"])
         idle = held.groupBy("token").agg((F.count("*") == F.first("wide")).alias("idle")).where("idle").select("token")
-        matrix = written(matrix.join(idle, "token", "left_anti"), "matrix-wide")
-    return matrix.drop("wide")
+        kept = written(matrix.join(idle, "token", "left_anti"), "matrix-wide")
+        drop_written(matrix)
+        matrix = kept
+    return matrix
 
 
 def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
@@ -333,7 +342,8 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     else:
         raise RuntimeError(f"names of classes collided in each of {TRIES} attempts")
     sets = written(scanned.select("doc_id", "n", "h1", "h2"), "sets")
-    near = _near(scanned.where("tokens is not null").select(name.alias("cls"), "tokens"))
+    met_by = _near(scanned.where("sig is not null").select(name.alias("cls"), *RANGES))
+    near = reduce(DataFrame.unionByName, met_by)
     drop_written(scanned)
 
     def shingles(wanted: DataFrame, name: str) -> DataFrame:
@@ -351,16 +361,18 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
         ends = ends.join(classes.select(F.col("cls").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")), end)
     stars = written(ends.mapInArrow(trimmed(_near_hub(num, den)), EDGES), "stars")
     texts = shingles(stars.select(F.explode(F.array("a", "b")).alias("cls")), "star-sets")
+    ends = stars
     for end in "ab":
         stars = stars.join(texts.select(F.col("cls").alias(end), F.col("shingles").alias(f"set_{end}")), end)
     stars = written(stars.mapInArrow(trimmed(_linked(num, den)), EDGES), "star-links", LARGE_ROWS)
-    drop_written(texts)
+    drop_written(texts, ends)
     comps = components(stars).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
 
     # what is left: tokens of two components or more
     split = near.join(comps, "cls", "left").select("cls", "token", F.coalesce("comp", "cls").alias("comp"))
     several = split.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("token", "least")
     left = written(split.join(several, "token"), "left")
+    drop_written(*met_by)
     label = left.groupBy("cls", "comp").agg(F.min("least").alias("least"))
     large = label.groupBy("comp").agg((F.count("*") >= GROUP // 2).alias("large"))
     # a token is found in two size bands, so groups of one band keep its row of the matrix short
@@ -377,16 +389,22 @@ def join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     hashes = [F.sum(F.xxhash64("grp", F.lit(i)).cast("decimal(38,0)")).alias(f"x{i}") for i in (1, 2)]
     spread = matrix.groupBy("token").agg(F.count("*").alias("wide"), *hashes).where("wide > 1")
     single = spread.groupBy("wide", "x1", "x2").agg(F.min("token").alias("token"))
-    matrix = _widest(written(matrix.join(single.select("token", "wide"), "token"), "matrix-once"))
+    once = written(matrix.join(single.select("token", "wide"), "token"), "matrix-once")
+    drop_written(matrix, left, members)
+    wide = _widest(once)
+    matrix = wide.drop("wide")
     apart = (F.col("grp") < F.col("other")) & ~F.coalesce(F.col("pure") == F.col("kind"), F.lit(False))
     pairs = matrix.join(matrix.select("token", F.col("grp").alias("other"), F.col("pure").alias("kind")), "token").where(apart).select("grp", "other").distinct()
     own = packed.where("pure is null").select("grp", F.col("grp").alias("other"), F.col("items").alias("left"), F.lit(None).cast(packed.schema["items"].dataType).alias("right"))
     cross = pairs.join(packed.select("grp", F.col("items").alias("left")), "grp").join(packed.select(F.col("grp").alias("other"), F.col("items").alias("right")), "other").select("grp", "other", "left", "right")
     met = written(own.unionByName(cross).mapInArrow(trimmed(_meet(num, den)), MET), "met", LARGE_ROWS)
+    drop_written(packed, wide)
     texts = shingles(met, "met-sets")
     opened = met.join(texts, "cls").groupBy("grp", "other").agg(F.collect_list(F.struct("side", "cls", "comp", "shingles")).alias("items")).select("items")
-    edges = written(opened.mapInArrow(trimmed(_open(num, den)), EDGES), "links", LARGE_ROWS).unionByName(stars)
-    linked = components(edges)
+    links = written(opened.mapInArrow(trimmed(_open(num, den)), EDGES), "links", LARGE_ROWS)
+    drop_written(met, texts)
+    linked = components(links.unionByName(stars))
+    drop_written(links, stars)
     home = classes.join(linked, classes["cls"] == linked["node"], "left").select("n", "h1", "h2", "rep", F.coalesce("label", "cls").alias("label"))
     least = home.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = home.join(least, "label").select(F.col("n").alias("cn"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), "component_id")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablelift.llm import bpe, jaccard_join, language_id, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity, vector_search
+from tablelift.llm.common import scratch_folders
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KIND = "doc_id long, text string, lang string, source string, n_chars long, word_chars string, piece int, h1 string"
@@ -132,6 +133,20 @@ def test_jaccard_join(docs, none, k, num, den):
     assert jaccard_join.join(none).count() == 0
 
 
+def test_jaccard_join_keeps_no_table_that_it_has_read(spark):
+    """What is on disk at once: a range of tokens is read from its own column, and tables go when nothing reads them any more."""
+    tokens = np.random.default_rng(5).integers(0, 1 << 63, 60_000, dtype=np.uint64)
+    ranges = jaccard_join._ranges(tokens)
+    assert sorted(np.concatenate(ranges).view(np.uint64).tolist()) == sorted(tokens.tolist())
+    assert max(map(len, ranges)) < len(tokens) / 8
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[: 40 + i % 7], f"x{i % 5}", *words[50:]])) for i in range(40)]
+    before = scratch_folders()
+    found = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 8, 10)
+    left = {re.search(r"/tablelift-([^/]+)-[0-9a-f]{32}$", p)[1] for p in scratch_folders() - before}
+    assert left <= {"classes", "sets", "labels"} and found.count() == 40
+
+
 @pytest.mark.parametrize("group", [2, 64])
 def test_jaccard_join_of_chains_and_shared_passages(spark, monkeypatch, group):
     """Chains of near copies (the ends are no near copies), and a passage that many other documents share."""
