@@ -17,6 +17,7 @@ from tablelift.operators.periods import Period, parse_instant, parse_period
 from tablelift.operators.splits import bounds, ranges
 from tablelift.plans.job import Options, export
 from tablelift.plans.query import ExportQuery, register, union
+from tablelift.sources import served
 from tablelift.sources.avro import avro_rows
 from tablelift.sources.jdbc import Jdbc, add_driver
 
@@ -180,8 +181,23 @@ def gauge_last_values(spark, sf_dir):
     return metrics.last_values(spark.table("events").select("event_type", F.struct("ts", "event_id").alias("at"), "value"), "event_type", "at", "value")
 
 
-def folder_for() -> str:
-    """A folder for the exports of these queries (they read them back on this machine), which goes at the end."""
+def _remove(spark, folder: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may be gone; the folder then stays for the cluster's clean-up
+        pass
+
+
+def folder_for(spark=None) -> str:
+    """A folder for the exports of these queries (they read them back on this machine), which goes at the end.
+
+    With a session: below spark.checkpoint.dir, where all machines see it, if that is set."""
+    base = spark and spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        folder = f"{base.rstrip('/')}/tablelift-export-{uuid.uuid4().hex}"
+        atexit.register(_remove, spark, folder)
+        return folder
     folder = tempfile.mkdtemp(prefix="tablelift-export-")
     atexit.register(shutil.rmtree, folder, True)
     return folder
@@ -230,13 +246,12 @@ def array_bytes(spark, sf_dir):
 
 
 def derby(spark, sf_dir, table, rows):
-    """A table of an embedded database in memory. It stands for a real one where none can be reached: the
-    driver loads it, and in local mode the tasks see it too."""
-    add_driver("derby", "org.apache.derby.iapi.jdbc.AutoloadedDriver", "FETCH FIRST {n} ROWS ONLY")
-    spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
-    url = f"jdbc:derby:memory:tablelift{uuid.uuid4().hex};create=true"
+    """A table of an embedded database that the driver serves. It stands for a real one where none can be reached:
+    tasks load and read it by connections, on whatever machine they run."""
+    add_driver("derby", served.DRIVER, "FETCH FIRST {n} ROWS ONLY")
+    url = served.serve(spark)
     rows = rows.toDF(*[c.upper() for c in rows.columns])
-    rows.coalesce(1).write.format("jdbc").option("url", url).option("driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver").option("dbtable", table).option("batchsize", 5000).mode("append").save()
+    rows.coalesce(1).write.format("jdbc").option("url", url).option("driver", served.DRIVER).option("dbtable", table).option("batchsize", 5000).mode("append").save()
     return Jdbc(url, username="app", password="app")
 
 
@@ -261,7 +276,7 @@ def jdbc_split_scan(spark, sf_dir):
 def jdbc_export(spark, sf_dir):
     """The same with a limit, as a whole export: rows that it reports, and rows in its files."""
     source = derby(spark, sf_dir, "orders", spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice"))
-    folder = folder_for()
+    folder = folder_for(spark)
     found = export(spark, Options(output=folder, table="orders", split_column="o_orderkey", query_parallelism=3, limit=30), source)
     kept = avro_rows(spark, folder, "o_orderkey long, o_totalprice double").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_keys"))
     return kept.withColumn("record_count", F.lit(found["recordCount"]).cast("long"))
