@@ -145,6 +145,12 @@ class Handler implements InvocationHandler {
     int at = -1;
     boolean more = true, closed = false;
     Object last;
+    /** Of a statement: parameters not sent yet (setters by place, types of nulls, values), and rows of a batch. */
+    String[] setters = new String[0];
+    Integer[] nulls = new Integer[0];
+    Object[] values = new Object[0];
+    boolean dirty = false;
+    List batch = new ArrayList();
 
     Handler(Channel channel, int id, String kind) {
         this.channel = channel;
@@ -170,16 +176,27 @@ class Handler implements InvocationHandler {
             if (name.equals("wasNull")) return Boolean.valueOf(last == null);
             if (n == 1 && name.startsWith("get") && args[0] instanceof Integer) return value(name.substring(3), ((Integer) args[0]).intValue());
         }
+        if (kind.equals("java.sql.PreparedStatement")) {
+            if (n == 2 && name.startsWith("set") && args[0] instanceof Integer) {
+                set(name, ((Integer) args[0]).intValue() - 1, args[1]);
+                return null;
+            }
+            if (n == 0 && name.equals("addBatch")) {
+                batch.add(values.clone());
+                dirty = false;
+                return null;
+            }
+            if (dirty || !batch.isEmpty()) {
+                channel.later(new Object[] {id, kind, "#batch", null, new Object[] {setters.clone(), nulls.clone(), batch.toArray(), dirty ? values.clone() : null}});
+                batch.clear();
+                dirty = false;
+            }
+        }
         Object[] given = new Object[n];
         for (int i = 0; i < n; i++) given[i] = Plain.sent(args[i]);
         Class[] types = (Class[]) kinds.get(m);
         if (types == null) kinds.put(m, types = m.getParameterTypes());
         Object[] one = new Object[] {id, kind, name, types, given};
-        boolean parameter = n >= 2 && name.startsWith("set") && args[0] instanceof Integer || n == 0 && name.equals("addBatch");
-        if (kind.equals("java.sql.PreparedStatement") && parameter) {
-            channel.later(one);
-            return null;
-        }
         Object out;
         try {
             out = channel.call(one);
@@ -189,6 +206,22 @@ class Handler implements InvocationHandler {
         return out;
     }
 
+    void set(String name, int i, Object x) throws SQLException {
+        if (i >= values.length) {
+            setters = (String[]) Arrays.copyOf(setters, i + 1);
+            nulls = (Integer[]) Arrays.copyOf(nulls, i + 1);
+            values = Arrays.copyOf(values, i + 1);
+        }
+        if (name.equals("setNull")) {
+            nulls[i] = (Integer) x;
+            values[i] = null;
+        } else {
+            setters[i] = name;
+            values[i] = Plain.sent(x);
+        }
+        dirty = true;
+    }
+
     boolean next() throws SQLException {
         if (++at < rows.length) return true;
         if (!more) return false;
@@ -314,6 +347,17 @@ class Served extends Thread {
         String kind = (String) call[1], name = (String) call[2];
         if (target == null) throw new SQLException("closed", "08003");
         if (name.equals("#rows")) return new Object[] {"value", rows((ResultSet) target)};
+        if (name.equals("#batch")) {
+            Object[] given = (Object[]) call[4];
+            PreparedStatement to = (PreparedStatement) target;
+            Object[] rows = (Object[]) given[2];
+            for (int i = 0; i < rows.length; i++) {
+                set(to, (String[]) given[0], (Integer[]) given[1], (Object[]) rows[i]);
+                to.addBatch();
+            }
+            if (given[3] != null) set(to, (String[]) given[0], (Integer[]) given[1], (Object[]) given[3]);
+            return null;
+        }
         Class[] types = (Class[]) call[3];
         String key = kind + name + Arrays.toString(types);
         Method m = (Method) methods.get(key);
@@ -335,6 +379,29 @@ class Served extends Thread {
         return new Object[] {face, Integer.valueOf(count)};
     }
 
+    static void set(PreparedStatement to, String[] setters, Integer[] nulls, Object[] values) throws SQLException {
+        for (int i = 0; i < values.length; i++) {
+            Object x = Plain.read(values[i]);
+            String how = setters[i];
+            if (x == null) to.setNull(i + 1, nulls[i] == null ? Types.VARCHAR : nulls[i].intValue());
+            else if (how.equals("setString")) to.setString(i + 1, (String) x);
+            else if (how.equals("setInt")) to.setInt(i + 1, ((Integer) x).intValue());
+            else if (how.equals("setLong")) to.setLong(i + 1, ((Long) x).longValue());
+            else if (how.equals("setDouble")) to.setDouble(i + 1, ((Double) x).doubleValue());
+            else if (how.equals("setFloat")) to.setFloat(i + 1, ((Float) x).floatValue());
+            else if (how.equals("setBoolean")) to.setBoolean(i + 1, ((Boolean) x).booleanValue());
+            else if (how.equals("setShort")) to.setShort(i + 1, ((Short) x).shortValue());
+            else if (how.equals("setByte")) to.setByte(i + 1, ((Byte) x).byteValue());
+            else if (how.equals("setBytes")) to.setBytes(i + 1, (byte[]) x);
+            else if (how.equals("setBigDecimal")) to.setBigDecimal(i + 1, (BigDecimal) x);
+            else if (how.equals("setDate")) to.setDate(i + 1, (java.sql.Date) x);
+            else if (how.equals("setTimestamp")) to.setTimestamp(i + 1, (Timestamp) x);
+            else if (how.equals("setTime")) to.setTime(i + 1, (Time) x);
+            else if (how.equals("setObject")) to.setObject(i + 1, x);
+            else throw new SQLFeatureNotSupportedException(how);
+        }
+    }
+
     static Object[] rows(ResultSet from) throws SQLException {
         List found = new ArrayList();
         int n = from.getMetaData().getColumnCount();
